@@ -97,25 +97,22 @@ def unpopulated_groups(status: DataFrame) -> DataFrame:
 
 def missing_id_expectation(rows: DataFrame, settings: Settings) -> DataFrame:
     """Whether missing identifiers per step are allowed; each identifier on its own."""
-    parts = []
+    found = []
     for name, column in (
         ("main_id", "missing_main_identifier_pct"),
         ("session_id", "missing_session_id_pct"),
     ):
         allowed = V.any_table("event_table", settings.tables_where_missing_is_allowed(name))
         label = settings.main_identifier if name == "main_id" else "session identifier"
-        parts.append(
-            rows.filter(F.col(column) > 0).select(
-                "event_table",
-                "step",
-                "type",
-                F.lit(label).alias("identifier"),
-                F.when(allowed, "expected").otherwise("unexpected").alias("expectation"),
-                F.col(column).alias("missing_pct"),
-                "rows_in_range",
-            )
+        entry = F.struct(
+            F.lit(label).alias("identifier"),
+            F.when(allowed, "expected").otherwise("unexpected").alias("expectation"),
+            F.col(column).alias("missing_pct"),
         )
-    return united(parts)
+        found.append(F.when(F.col(column) > 0, entry))
+    return rows.select(
+        "event_table", "step", "type", "rows_in_range", F.inline(F.array_compact(F.array(*found)))
+    )
 
 
 def run_summary(metrics: DataFrame, status: DataFrame, parameters: DataFrame) -> DataFrame:
@@ -146,40 +143,82 @@ def run_summary(metrics: DataFrame, status: DataFrame, parameters: DataFrame) ->
 # ---------------------------------------------------------------------------
 # Sections
 # ---------------------------------------------------------------------------
-def _findings(
-    frame: DataFrame,
+def _entry(
     section: str | Column,
     source_rank: int,
-    order: Column,
+    order: Column | int,
     issue: str | Column,
-    metric: str | Column,
+    metric: str,
     value: Column,
     rows: Column,
     level: str | Column = "normal",
-    parameter: Column | None = None,
+    parameter: str | Column | None = None,
     step: Column | None = None,
-) -> DataFrame:
-    def column(item: str | Column) -> Column:
-        return F.lit(item) if isinstance(item, str) else item
+    only: Column | None = None,
+) -> Column:
+    """One finding as a struct, NULL where its condition does not hold."""
+    def column(item: str | int | Column | None) -> Column:
+        return item if isinstance(item, Column) else F.lit(item)
 
-    empty = F.lit(None).cast("string")
-    return frame.select(
+    entry = F.struct(
         column(section).alias("section"),
         F.lit(source_rank).alias("source_rank"),
-        order.cast("double").alias("order_key"),
-        "event_table",
-        (empty if parameter is None else parameter).alias("parameter"),
-        (empty if step is None else step).alias("step"),
+        column(order).cast("double").alias("order_key"),
+        column(parameter).cast("string").alias("parameter"),
+        column(step).cast("string").alias("step"),
         column(issue).alias("issue"),
-        column(metric).alias("metric"),
+        F.lit(metric).alias("metric"),
         value.cast("double").alias("value"),
         rows.cast("long").alias("rows"),
         column(level).alias("severity"),
     )
+    return entry if only is None else F.when(only, entry)
+
 
+def _findings(frame: DataFrame, *entries: Column) -> DataFrame:
+    """All findings of each row of a frame, from one pass over it."""
+    found = F.inline(F.array_compact(F.array(*entries)))
+    return frame.select("event_table", found)
 
-def _has_flag(name: str) -> Column:
-    return F.array_contains(F.split("status", ", "), name)
+
+def _event_findings(event_status: DataFrame) -> DataFrame:
+    """Findings from event status; ``explained`` marks tables with flow evidence."""
+    rows, flagged = F.col("rows_in_range"), F.split("status", ", ")
+
+    def rate(section: str, source_rank: int, order: int, metric: str, label: str | None) -> Column:
+        return _entry(
+            section, source_rank, order, f"{metric}_high", f"{metric}_pct",
+            F.col(f"{metric}_pct"), rows, parameter=label,
+            only=F.array_contains(flagged, f"{metric}_high"),
+        )
+
+    entries = [
+        rate("system_parameters", 3, 0, "missing_adid", "adid"),
+        _entry(
+            "system_parameters", 3, 1, "missing_main_identifier_high",
+            "missing_main_identifier_pct", F.col("missing_main_identifier_pct"), rows,
+            parameter=F.col("main_identifier"),
+            only=F.array_contains(flagged, "missing_main_identifier_high"),
+        ),
+        rate("system_parameters", 3, 2, "missing_session_id", "session identifier"),
+        rate("confirmed", 1, 0, "duplicate", None),
+        rate("confirmed", 1, 1, "replicated", None),
+        rate("investigate", 1, 0, "same_second_burst", None),
+    ]
+    for flag in (HIGH, LOW):
+        entries.append(
+            _entry(
+                "investigate", 2, 0, flag, "delta_vs_lookback_expected",
+                F.col("delta_vs_lookback_expected"), rows, only=F.array_contains(flagged, flag),
+            )
+        )
+    entries.append(
+        _entry(
+            "investigate", 3, 0, "no_rows_unclassified", "rows_in_range", F.lit(None), rows,
+            only=F.array_contains(flagged, NO_ROWS) & ~F.col("explained"),
+        )
+    )
+    return _findings(event_status, *entries)
 
 
 def findings_report(
@@ -193,21 +232,29 @@ def findings_report(
 ) -> DataFrame:
     """All findings by section, each section in order and cut at its cap.
 
-    A table without rows is only classified when flow evidence exists for it.
+    A table without rows is only classified when flow evidence exists for it.  Every
+    input is read a few times: pass results that have been kept.
     """
-    none, zero = F.lit(None), F.lit(0.0)
-    rows = F.col("rows_in_range")
+    rows, zero = F.col("rows_in_range"), F.lit(0).cast("long")
     parts: list[DataFrame] = []
     delivery = F.concat(F.col("severity"), F.lit("_delivery"))
+    known = event_status.withColumn("explained", F.lit(False))
     if flows is not None:
+        severe = flows.filter(F.col("severity").isin("critical", "low"))
+        mark = severe.select("event_table", F.lit(True).alias("explained"))
+        known = event_status.join(mark, "event_table", "left").withColumn(
+            "explained", F.coalesce("explained", F.lit(False))
+        )
         parts.append(
             _findings(
-                flows.filter(F.col("severity").isin("critical", "low")),
-                delivery, 1, zero, F.array_join("status", ","), "raw_rows",
-                F.col("raw_rows"), F.coalesce(F.col("parsed_rows"), F.lit(0).cast("long")),
-                F.col("severity"),
+                severe,
+                _entry(
+                    delivery, 1, 0, F.array_join("status", ","), "raw_rows", F.col("raw_rows"),
+                    F.coalesce(F.col("parsed_rows"), zero), F.col("severity"),
+                ),
             )
         )
+    parts.append(_event_findings(known))
     if origins is not None:
         traced = origins.filter(
             F.col("diagnosis").isin(DIAGNOSES["parser"][0], DIAGNOSES["payload"][0])
@@ -215,26 +262,17 @@ def findings_report(
         place = F.when(F.col("scope") == "system", "system_parameters").otherwise(
             "value_parameters"
         )
-        order = priority_rank()
-        for section in (delivery, place):
-            parts.append(
-                _findings(
-                    traced, section, 2, order, F.col("diagnosis"), "raw_presence_pct",
-                    F.col("raw_presence_pct"), F.col("raw_rows"), F.col("severity"),
-                    parameter=F.col("parameter"),
-                )
-            )
-    identifiers = (
-        ("missing_adid", "adid"),
-        ("missing_main_identifier", settings.main_identifier),
-        ("missing_session_id", "session identifier"),
-    )
-    for position, (metric, label) in enumerate(identifiers):
         parts.append(
             _findings(
-                event_status.filter(_has_flag(f"{metric}_high")), "system_parameters", 3,
-                F.lit(position), f"{metric}_high", f"{metric}_pct", F.col(f"{metric}_pct"), rows,
-                parameter=F.lit(label),
+                traced,
+                *[
+                    _entry(
+                        section, 2, priority_rank(), F.col("diagnosis"), "raw_presence_pct",
+                        F.col("raw_presence_pct"), F.col("raw_rows"), F.col("severity"),
+                        parameter=F.col("parameter"),
+                    )
+                    for section in (delivery, place)
+                ],
             )
         )
     # At most as many rows as the section may show, so one window over them is small.
@@ -243,61 +281,43 @@ def findings_report(
     )
     parts.append(
         _findings(
-            groups.withColumnRenamed("first_table", "event_table"), "value_parameters", 4,
-            F.col("position"), F.col("problems"), "missing_pct", F.col("max_missing_pct"),
-            F.col("affected_events"), F.col("report_priority"), parameter=F.col("parameter"),
+            groups.withColumnRenamed("first_table", "event_table"),
+            _entry(
+                "value_parameters", 4, F.col("position"), F.col("problems"), "missing_pct",
+                F.col("max_missing_pct"), F.col("affected_events"), F.col("report_priority"),
+                parameter=F.col("parameter"),
+            ),
         )
     )
-    for position, metric in enumerate(("duplicate", "replicated")):
-        parts.append(
-            _findings(
-                event_status.filter(_has_flag(f"{metric}_high")), "confirmed", 1,
-                F.lit(position), f"{metric}_high", f"{metric}_pct", F.col(f"{metric}_pct"), rows,
-            )
-        )
     late = F.col("future_event_time_rows")
     future = scan.filter(late > 0).orderBy(late.desc(), "event_table").limit(FUTURE_TABLES)
     parts.append(
         _findings(
-            future, "confirmed", 2, -late, "future_event_time", "future_event_time_rows", late, rows
+            future,
+            _entry("confirmed", 2, -late, "future_event_time", "future_event_time_rows", late, rows),
         )
     )
     warned = scan.filter(F.size("schema_warnings") > 0).orderBy("event_table").limit(WARNING_TABLES)
     parts.append(
         _findings(
-            warned, "confirmed", 3, zero, F.array_join("schema_warnings", "; "),
-            "schema_warnings", F.size("schema_warnings"), rows,
+            warned,
+            _entry(
+                "confirmed", 3, 0, F.array_join("schema_warnings", "; "), "schema_warnings",
+                F.size("schema_warnings"), rows,
+            ),
         )
     )
     first = missing_ids.orderBy(rows.desc(), "event_table", "step", "type").limit(MISSING_ID_ROWS)
-    expectation = missing_id_expectation(first, settings)
     expected = F.col("expectation") == "expected"
     parts.append(
         _findings(
-            expectation, F.when(expected, "expected").otherwise("investigate"), 9, -rows,
-            F.concat(F.col("expectation"), F.lit("_missing_identifier")), "missing_pct",
-            F.col("missing_pct"), rows, parameter=F.col("identifier"), step=F.col("step"),
-        )
-    )
-    parts.append(
-        _findings(
-            event_status.filter(_has_flag("same_second_burst_high")), "investigate", 1, zero,
-            "same_second_burst_high", "same_second_burst_pct", F.col("same_second_burst_pct"), rows,
-        )
-    )
-    for flag in (HIGH, LOW):
-        parts.append(
-            _findings(
-                event_status.filter(_has_flag(flag)), "investigate", 2, zero, flag,
-                "delta_vs_lookback_expected", F.col("delta_vs_lookback_expected"), rows,
-            )
+            missing_id_expectation(first, settings),
+            _entry(
+                F.when(expected, "expected").otherwise("investigate"), 9, -rows,
+                F.concat(F.col("expectation"), F.lit("_missing_identifier")), "missing_pct",
+                F.col("missing_pct"), rows, parameter=F.col("identifier"), step=F.col("step"),
+            ),
         )
-    idle = event_status.filter(_has_flag(NO_ROWS))
-    if flows is not None:
-        explained = flows.filter(F.col("severity").isin("critical", "low"))
-        idle = idle.join(explained.select("event_table"), "event_table", "left_anti")
-    parts.append(
-        _findings(idle, "investigate", 3, zero, "no_rows_unclassified", "rows_in_range", none, rows)
     )
     return sectioned(united(parts))
 
@@ -318,4 +338,3 @@ def sectioned(findings: DataFrame) -> DataFrame:
         .withColumn("section_order", places[F.col("section")])
         .drop("source_rank", "order_key")
     )
-

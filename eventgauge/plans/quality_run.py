@@ -1,8 +1,8 @@
 """One complete quality run over a set of event tables.
 
-``run`` only declares frames; nothing is computed until one of them is written or
-read.  All frames with one row per table, parameter or sample are small; those that
-several results read can be kept with ``kept``.
+``run`` declares all result frames.  Results with one row per table, parameter or
+event that several others read are computed once, see ``kept``; everything else runs
+when it is written or read.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from eventgauge.sources.events import (
     EventSource,
     canonical_events,
     event_times,
+    table_columns,
     table_profiles,
     without_blacklisted,
 )
@@ -41,7 +42,14 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def kept(frame: DataFrame) -> DataFrame:
-    """Keep a small result that several outputs read; it can be recomputed if lost."""
+    """Compute a small result once for all outputs that read it.
+
+    It stands for scans over everything, so on a cluster it is checkpointed to the
+    shared folder: losing an executor must not repeat those scans.  Without a
+    checkpoint folder, as in tests, it is cached.
+    """
+    if frame.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return frame.checkpoint()
     return frame.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -111,7 +119,12 @@ def run(
         parameters.top_values(parameters.value_histogram(sources, rules, windows, settings), limit)
     )
     out["parameter_quality"] = parameter_status
+    observed = parameters.observed_parameters(parameter_status, observed)
     out["parameter_values"] = observed
+    if contract is None:
+        out["inferred_contract"] = contracts.inferred_contract(
+            without_blacklisted(table_columns(sources), settings), observed, settings
+        )
     out["parameter_problem_groups"] = findings.problem_groups(parameter_status)
     out["unpopulated_columns"] = findings.unpopulated_groups(parameter_status)
 
@@ -158,7 +171,9 @@ def run(
     candidates = kept(drilldown.candidates(metrics, settings))
     duplicates = drilldown.duplicate_samples(events, candidates)
     bursts = drilldown.burst_samples(events, settings.burst_threshold, candidates)
-    missing_ids = drilldown.missing_ids_by_step(events, settings.drilldown["missing_id_tables"])
+    missing_ids = kept(
+        drilldown.missing_ids_by_step(events, settings.drilldown["missing_id_tables"])
+    )
     out["drilldown_candidates"] = candidates
     out["duplicate_samples"] = duplicates
     out["burst_samples"] = bursts

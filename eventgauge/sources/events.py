@@ -71,11 +71,15 @@ class EventSource:
         return F.lit(self.name) if self.name_column is None else F.col(self.name_column)
 
     def within(self, windows: Windows, span: str) -> DataFrame:
-        """Rows of ``measurement``, ``lookback``, ``scope`` or ``any`` time."""
+        """Rows of the ``measurement``, the ``lookback``, both (``scope``), or all rows
+        ``since_lookback`` began."""
         column = self.measured_by
         assert column is not None
-        if span == "any":
-            return self.frame
+        if span == "since_lookback":
+            since = windows.since_lookback(self.frame, column)
+            if self.prune_column:
+                since = since & windows.since_lookback(self.frame, self.prune_column)
+            return self.frame.filter(since)
         predicate = {
             "measurement": windows.in_measurement,
             "lookback": windows.in_lookback,
@@ -126,7 +130,7 @@ def canonical_events(
 
 
 def event_times(
-    sources: Sequence[EventSource], windows: Windows, span: str = "any"
+    sources: Sequence[EventSource], windows: Windows, span: str = "since_lookback"
 ) -> DataFrame:
     """Only table name and time: the narrow scan behind volume and future checks."""
     return united(
@@ -141,23 +145,15 @@ def event_times(
 
 
 def table_profiles(sources: Sequence[EventSource], settings: Settings) -> DataFrame:
-    """One row per event table: time column and which identifiers it can have.
-
-    Names held in a column are read with a distinct over that one column, which
-    combines on the map side.
-    """
+    """One row per event table: time column and which identifiers it can have."""
     parts = []
     for source in sources:
         present = {
             name: V.first_present(settings.aliases(logical), source.columns)[1]
             for name, logical in IDENTIFIERS.items()
         }
-        if source.name_column is None:
-            names = source.frame.sparkSession.range(1).select(source.event_table.alias("event_table"))
-        else:
-            names = source.frame.select(source.event_table.alias("event_table")).distinct()
         parts.append(
-            names.select(
+            _event_tables(source).select(
                 "event_table",
                 F.lit(source.measured_by).cast("string").alias("measurement_time_column"),
                 *[F.lit(bool(cols)).alias(f"has_{name}") for name, cols in present.items()],
@@ -169,6 +165,36 @@ def table_profiles(sources: Sequence[EventSource], settings: Settings) -> DataFr
     return united(parts)
 
 
+def table_columns(sources: Sequence[EventSource]) -> DataFrame:
+    """``event_table, column_name, type`` for every column of every event table."""
+    parts = []
+    for source in sources:
+        held = [f for f in source.frame.schema.fields if f.name != source.name_column]
+        listed = F.array(
+            *[
+                F.struct(
+                    F.lit(f.name).alias("column_name"),
+                    F.lit(f.dataType.simpleString()).alias("type"),
+                )
+                for f in held
+            ]
+        )
+        parts.append(_event_tables(source).select("event_table", F.inline(listed)))
+    return united(parts)
+
+
+def _event_tables(source: EventSource) -> DataFrame:
+    """The event tables of a source.
+
+    Names held in a column are read with a distinct over that one column, which
+    combines on the map side.
+    """
+    named = source.event_table.alias("event_table")
+    if source.name_column is None:
+        return source.frame.sparkSession.range(1).select(named)
+    return source.frame.select(named).distinct()
+
+
 def united(parts: Sequence[DataFrame]) -> DataFrame:
     if not parts:
         raise ValueError("there is no event table with a timestamp column to measure")
