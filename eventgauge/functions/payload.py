@@ -61,9 +61,8 @@ def has(wrapped: Column, *path: str) -> Column:
     return at(wrapped, *path).isNotNull()
 
 
-def text_at(wrapped: Column, *path: str) -> Column:
-    """A JSON string under a path, NULL when absent, empty or not a string."""
-    value = at(wrapped, *path)
+def filled_text(value: Column) -> Column:
+    """A VARIANT that is a JSON string, NULL when absent, empty or of another type."""
     is_text = F.schema_of_variant(value) == "STRING"
     return F.when(is_text, F.nullif(F.try_variant_get(value, "$", "string"), F.lit("")))
 
@@ -110,25 +109,25 @@ def raw_text(value: Column) -> Column:
 
 
 def is_filled(value: Column) -> Column:
-    return ~raw_text(value).isin(EMPTY_RAW_VALUES)
+    """Whether a value is neither a JSON null nor an empty string."""
+    shown = F.coalesce(F.try_variant_get(value, "$", "string"), F.lit("-"))
+    return ~F.is_variant_null(value) & (shown != "")
 
 
-def value_kind(value: Column) -> Column:
-    """bool, int, float or other for one VARIANT; NULL for null and empty text.
+def value_kind(schema: Column, filled: Column) -> Column:
+    """bool, int, float or other from the schema text of a VARIANT, NULL when empty.
 
     A whole number too long for 64 bits is held as a decimal without a fraction,
     which then has more digits than any number that was written with a point.
     """
-    kind = F.schema_of_variant(value)
-    scale = F.regexp_extract(kind, r"^DECIMAL\((\d+),(\d+)\)$", 2)
-    digits = F.regexp_extract(kind, r"^DECIMAL\((\d+),(\d+)\)$", 1)
+    scale = F.regexp_extract(schema, r"^DECIMAL\((\d+),(\d+)\)$", 2)
+    digits = F.regexp_extract(schema, r"^DECIMAL\((\d+),(\d+)\)$", 1)
     long_whole = (scale == "0") & (F.length(digits) == 2) & (digits > "18")
     return (
-        F.when(kind == "VOID", None)
-        .when(raw_text(value).isin(EMPTY_RAW_VALUES), None)
-        .when(kind == "BOOLEAN", "bool")
-        .when((kind == "BIGINT") | long_whole, "int")
-        .when(kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), "float")
+        F.when(~filled, None)
+        .when(schema == "BOOLEAN", "bool")
+        .when((schema == "BIGINT") | long_whole, "int")
+        .when(schema.isin("DOUBLE", "FLOAT") | schema.startswith("DECIMAL"), "float")
         .otherwise("other")
     )
 
@@ -143,9 +142,3 @@ def merged_type(kinds_seen: dict[str, Column]) -> Column:
         .when(real & ~boolean & ~other, TYPE_FLOAT)
         .otherwise(TYPE_STRING)
     )
-
-
-def example_text(value: Column) -> Column:
-    """A value as shown in a contract: strings bare, everything else as JSON."""
-    is_text = F.schema_of_variant(value) == "STRING"
-    return F.when(is_text, F.try_variant_get(value, "$", "string")).otherwise(raw_text(value))

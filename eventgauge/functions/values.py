@@ -23,22 +23,31 @@ NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][
 # ---------------------------------------------------------------------------
 
 
-def text(column: str | Column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("string")
+def quoted(column: str) -> str:
+    """A column name for use inside an SQL expression."""
+    return "`" + column.replace("`", "``") + "`"
 
 
-def is_missing(column: str | Column) -> Column:
-    """NULL, only spaces, the all-zero UUID or the word ``null``; never NULL itself."""
-    value = text(column)
-    return F.coalesce(
-        (F.trim(value) == "") | (value == ZERO_UUID) | (F.lower(value) == NULL_WORD),
-        F.lit(True),
+def text(column: str) -> Column:
+    return F.expr(f"cast({quoted(column)} as string)")
+
+
+def _missing_sql(value: str) -> str:
+    return (
+        f"coalesce(trim({value}) = '' or {value} = '{ZERO_UUID}'"
+        f" or lower({value}) = '{NULL_WORD}', true)"
     )
 
 
-def normalized(column: str | Column) -> Column:
+def is_missing(column: str) -> Column:
+    """NULL, only spaces, the all-zero UUID or the word ``null``; never NULL itself."""
+    return F.expr(_missing_sql(f"cast({quoted(column)} as string)"))
+
+
+def normalized(column: str) -> Column:
     """The untrimmed text of a value, or NULL where it counts as missing."""
-    return F.when(~is_missing(column), text(column))
+    value = f"cast({quoted(column)} as string)"
+    return F.expr(f"case when not {_missing_sql(value)} then {value} end")
 
 
 def first_present(aliases: Sequence[str], available: Sequence[str]) -> tuple[Column, list[str]]:
@@ -105,7 +114,7 @@ def dimension(column: str, available: Sequence[str]) -> Column:
     """A grouping label that tells an empty value from an absent column."""
     if column not in available:
         return F.lit(NO_COLUMN)
-    return F.coalesce(F.nullif(text(column), F.lit("")), F.lit(NULL_DIMENSION))
+    return F.expr(f"coalesce(nullif(cast({quoted(column)} as string), ''), '{NULL_DIMENSION}')")
 
 
 def ratio(part: Column, whole: Column) -> Column:

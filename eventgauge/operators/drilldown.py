@@ -1,8 +1,8 @@
 """Samples of the groups behind a finding.
 
 Samples are chosen first, from counts alone and with the limit applied inside the
-map tasks.  Only then are the rows of the chosen groups read again for their labels,
-so majority values are never computed for groups nobody will see.
+map tasks, and kept.  Only then are the rows of the chosen groups read again for
+their labels, so majority values are never computed for groups nobody will see.
 """
 
 from __future__ import annotations
@@ -19,12 +19,15 @@ from eventgauge.operators import events as E
 from eventgauge.operators.status import NO_ROWS
 from eventgauge.settings import Settings
 from eventgauge.sources.events import without_blacklisted
+from eventgauge.sources.kept import kept, small_side
 
 SAMPLES_PER_TABLE = 50
 STEP_ROWS_PER_TABLE = 100
 
 
-def _top(frame: DataFrame, keys: Sequence[str], order: Sequence[Column | str], limit: int) -> DataFrame:
+def _top(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[Column | str], limit: int
+) -> DataFrame:
     ranked = frame.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("rank") <= limit)
 
@@ -59,22 +62,26 @@ def flagged_tables(status: DataFrame, settings: Settings, limit: int | None = No
 
 
 def _of_tables(events: DataFrame, tables: DataFrame | None) -> DataFrame:
+    """Events of the given tables; the list holds one row per event table."""
     if tables is None:
         return events
-    return events.join(tables.select("event_table"), "event_table", "left_semi")
+    return events.join(small_side(kept(tables.select("event_table"))), "event_table", "left_semi")
 
 
-def _label_counts(events: DataFrame, chosen: DataFrame, keys: list[str], labels: dict[str, Column]) -> DataFrame:
+def _label_counts(
+    events: DataFrame, chosen: DataFrame, keys: list[str], labels: dict[str, Column]
+) -> DataFrame:
     """Rows per chosen group, label column and label.
 
-    ``chosen`` holds at most the sample limit of rows per table.  The rows of one
-    group combine per label on the map side, however many there are.
+    ``chosen`` is kept and holds at most the sample limit of rows per table; its
+    other columns are carried along.  The rows of one group combine per label on the
+    map side, however many there are.
     """
-    rows = events.join(chosen.select(*keys), keys).select(
-        *keys, *[expr.alias(name) for name, expr in labels.items()]
+    rows = events.join(small_side(chosen), keys).select(
+        *chosen.columns, *[expr.alias(name) for name, expr in labels.items()]
     )
-    long = rows.unpivot(keys, list(labels), "label", "value")
-    return long.groupBy(*keys, "label", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = rows.unpivot(chosen.columns, list(labels), "label", "value")
+    return long.groupBy(*chosen.columns, "label", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _majority(name: str) -> Column:
@@ -95,22 +102,20 @@ def duplicate_samples(
     keys = list(E.GROUP)
     inside = _of_tables(events, tables)
     groups = E.event_groups(inside).filter(F.col("group_rows") > 1)
-    chosen = _top(
-        groups, ["event_table"],
-        [F.col("group_rows").desc(), "event_time", "adid", "event_key"], limit,
+    groups = groups.withColumnRenamed("group_rows", "rows_same_event_key_adid_time")
+    size = F.col("rows_same_event_key_adid_time")
+    chosen = kept(
+        _top(groups, ["event_table"], [size.desc(), "event_time", "adid", "event_key"], limit)
     )
     named = ("platform", "region", "server_region", "step", "type")
     counted = _label_counts(
         inside, chosen, keys, {"main_id": F.col("main_id"), **_labels(*named)}
     )
     ids = F.count_if((F.col("label") == "main_id") & F.col("value").isNotNull())
-    details = counted.groupBy(*keys).agg(
+    return counted.groupBy(*chosen.columns).agg(
         ids.alias("unique_main_identifiers"),
         *[_majority(name).alias(f"most_common_{name}") for name in named],
     )
-    return chosen.withColumnRenamed("group_rows", "rows_same_event_key_adid_time").join(
-        details, keys
-    )
 
 
 def burst_samples(
@@ -131,9 +136,8 @@ def burst_samples(
         )
         .filter(F.col("unique_event_keys") > threshold)
     )
-    chosen = _top(
-        seconds, ["event_table"], [F.col("rows_same_second").desc(), "event_time", "adid"], limit
-    )
+    size = F.col("rows_same_second")
+    chosen = kept(_top(seconds, ["event_table"], [size.desc(), "event_time", "adid"], limit))
     keyed = inside.filter(F.col("event_key").isNotNull())
     counted = _label_counts(
         keyed, chosen, keys, _labels("platform", "region", "server_region", "step", "type")
@@ -142,7 +146,7 @@ def burst_samples(
     def every(name: str) -> Column:
         return F.sort_array(F.collect_set(F.when(F.col("label") == name, F.col("value"))))
 
-    details = counted.groupBy(*keys).agg(
+    return counted.groupBy(*chosen.columns).agg(
         *[
             _majority(name).alias(f"most_common_{name}")
             for name in ("platform", "region", "server_region")
@@ -150,7 +154,6 @@ def burst_samples(
         every("step").alias("steps"),
         every("type").alias("types"),
     )
-    return chosen.join(details, keys)
 
 
 def missing_ids_by_step(

@@ -14,6 +14,7 @@ from eventgauge.operators import contracts
 from eventgauge.operators.status import flags, severity
 from eventgauge.settings import PRIORITY_RANKS, Settings
 from eventgauge.sources.events import united
+from eventgauge.sources.kept import small_side
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -51,18 +52,17 @@ DIAGNOSES = {
 def source_summary(payloads: DataFrame) -> DataFrame:
     """Rows, invalid rows and rows without parameters per event name.
 
-    Rows are first combined per (event, mode), which is what an event with a large
-    share of all rows is reduced to before its modes are gathered.
+    Rows are first counted per (event, written type, mode), which needs only hash
+    aggregation; the text minimum and the set of modes are taken over those counts.
     """
     lacking = F.col("valid") & P.lacks_params(F.col("body"))
-    per_mode = payloads.groupBy("event_table", "mode").agg(
-        F.min("raw_type").alias("source_type"),
+    counted = payloads.groupBy("event_table", "raw_type", "mode").agg(
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(~F.col("valid")).alias("invalid_json_rows"),
         F.count_if(lacking).alias("missing_params_object_rows"),
     )
-    return per_mode.groupBy("event_table").agg(
-        F.min("source_type").alias("source_type"),
+    return counted.groupBy("event_table").agg(
+        F.min("raw_type").alias("source_type"),
         _modes(),
         F.sum("raw_rows").alias("raw_rows"),
         F.sum("invalid_json_rows").alias("invalid_json_rows"),
@@ -78,14 +78,20 @@ def _modes() -> Column:
 def dead_letter_rows(letters: DataFrame) -> DataFrame:
     """Shape and rejection details of every dead-letter row."""
     body, valid = F.col("body"), F.col("valid")
-    return letters.select(
+    cut = letters.withColumns(
+        {
+            "name_value": P.at(body, "event", "name"),
+            "rejected_value": P.at(body, "rejectedAt"),
+        }
+    )
+    return cut.select(
         "event_table",
         F.col("source_table").alias("dlq_source_table"),
         "mode",
         P.dlq_shape(valid, body).alias("dlq_shape"),
-        P.text_at(body, "event", "name").alias("source_event_name"),
+        P.filled_text(F.col("name_value")).alias("source_event_name"),
         P.has(body, "event", "parameters").alias("has_event_parameters"),
-        P.text_at(body, "rejectedAt").alias("rejected_at"),
+        P.filled_text(F.col("rejected_value")).alias("rejected_at"),
         P.texts_at(body, "validationErrors").alias("validation_errors"),
     )
 
@@ -96,24 +102,15 @@ def dlq_summary(letters: DataFrame) -> DataFrame:
     Their error texts are a frame of their own, ``dlq_errors``: the list can be as
     long as the table, so it is rows rather than one cell.
     """
-    keys = ["event_table", "dlq_source_table", "dlq_shape"]
-    per_mode = dead_letter_rows(letters).groupBy(*keys, "mode").agg(
-        F.min("source_event_name").alias("source_event_name"),
-        F.count(F.lit(1)).alias("dlq_rows"),
-        F.count_if("has_event_parameters").alias("event_parameters_rows"),
-        F.sum(F.size("validation_errors")).cast("long").alias("validation_error_rows"),
-        F.min("rejected_at").alias("rejected_at_min"),
-        F.max("rejected_at").alias("rejected_at_max"),
-    )
     empty = F.lit("")
-    return per_mode.groupBy(*keys).agg(
+    return dead_letter_rows(letters).groupBy("event_table", "dlq_source_table", "dlq_shape").agg(
         F.coalesce(F.min("source_event_name"), empty).alias("source_event_name"),
         _modes(),
-        F.sum("dlq_rows").alias("dlq_rows"),
-        F.sum("event_parameters_rows").alias("event_parameters_rows"),
-        F.sum("validation_error_rows").alias("validation_error_rows"),
-        F.coalesce(F.min("rejected_at_min"), empty).alias("rejected_at_min"),
-        F.coalesce(F.max("rejected_at_max"), empty).alias("rejected_at_max"),
+        F.count(F.lit(1)).alias("dlq_rows"),
+        F.count_if("has_event_parameters").alias("event_parameters_rows"),
+        F.sum(F.size("validation_errors")).cast("long").alias("validation_error_rows"),
+        F.coalesce(F.min("rejected_at"), empty).alias("rejected_at_min"),
+        F.coalesce(F.max("rejected_at"), empty).alias("rejected_at_max"),
     )
 
 
@@ -138,17 +135,24 @@ def payload_parameters(payloads: DataFrame, extra: Sequence[str] = ()) -> DataFr
 
 
 def _restricted(payloads: DataFrame, events: DataFrame | None) -> DataFrame:
-    """Only rows of the given events, before their payload is taken apart."""
+    """Only rows of the given events (a kept frame), before they are taken apart."""
     if events is None:
         return payloads
-    return payloads.join(events.select("event_table").distinct(), "event_table", "left_semi")
+    names = events.select("event_table").distinct()
+    return payloads.join(small_side(names), "event_table", "left_semi")
 
 
 def raw_types(payloads: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """The type of each payload parameter, from all its values."""
-    kind = P.value_kind(F.col("value"))
+    kind = P.value_kind(F.col("schema"), F.col("filled"))
     counted = (
         payload_parameters(_restricted(payloads, events))
+        .select(
+            "event_table",
+            "parameter",
+            F.schema_of_variant("value").alias("schema"),
+            P.is_filled(F.col("value")).alias("filled"),
+        )
         .select("event_table", "parameter", kind.alias("kind"))
         .groupBy("event_table", "parameter")
         .agg(

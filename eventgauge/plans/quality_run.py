@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ from eventgauge.sources.events import (
     table_profiles,
     without_blacklisted,
 )
+from eventgauge.sources.kept import kept
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
@@ -41,18 +41,6 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def kept(frame: DataFrame) -> DataFrame:
-    """Compute a small result once for all outputs that read it.
-
-    It stands for scans over everything, so on a cluster it is checkpointed to the
-    shared folder: losing an executor must not repeat those scans.  Without a
-    checkpoint folder, as in tests, it is cached.
-    """
-    if frame.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return frame.checkpoint()
-    return frame.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def windows_of(settings: Settings, reference: Any = None) -> Windows:
     config = settings.config
     return Windows.of(config.get("date_range"), config.get("lookback"), reference)
@@ -162,7 +150,7 @@ def run(
         out["flow_summary"] = flow.flow_summary(flows, summary, rejected, origins)
         if document is not None:
             known = document.filter("event_table is not null").select("event_table").distinct()
-            fresh = summary.join(known, "event_table", "left_anti")
+            fresh = kept(summary.join(known, "event_table", "left_anti"))
             profile = flow.raw_parameter_contract(source, fresh)
             out["contract_additions"] = contracts.contract_additions(
                 document, fresh, profile, settings

@@ -16,7 +16,7 @@ from eventgauge.functions.windows import Windows
 from eventgauge.operators import contracts, drilldown, findings, flow, parameters, status
 from eventgauge.operators import events as E
 from eventgauge.plans import sample_views as views
-from eventgauge.plans.quality_run import kept, prepare_session, special_tables
+from eventgauge.plans.quality_run import prepare_session, special_tables
 from eventgauge.settings import AUTO_EXCLUDED_COLUMNS, Settings
 from eventgauge.sources import payloads as payload_tables
 from eventgauge.sources.catalog import TableEntry, table_inventory
@@ -28,6 +28,7 @@ from eventgauge.sources.events import (
     table_profiles,
     without_blacklisted,
 )
+from eventgauge.sources.kept import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,7 +226,7 @@ def _origins(spark: SparkSession, folder: str, checked: DataFrame | None = None)
 def _additions(spark: SparkSession, folder: str) -> DataFrame:
     source, contract = _source(spark, folder, fixed()), _contract(spark)
     known = contract.filter("event_table is not null").select("event_table")
-    fresh = source.select("event_table").distinct().join(known, "event_table", "left_anti")
+    fresh = kept(source.select("event_table").distinct().join(known, "event_table", "left_anti"))
     profile = flow.raw_parameter_contract(source, fresh)
     return contracts.contract_additions(contract, fresh, profile, settings())
 

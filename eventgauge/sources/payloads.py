@@ -49,22 +49,24 @@ def parsed(table: PayloadTable, windows: Windows | None, dead_letter: bool = Fal
     body = F.when(F.col("valid"), F.col("wrapped"))
     bodied = checked.withColumn("body", body)
 
+    # Each value is cut out of the body once, in a projection of its own.
+    found = {"type_value": P.at(F.col("body"), "type")}
+    if dead_letter:
+        found["name_value"] = P.at(F.col("body"), "event", "name")
+    cut = bodied.withColumns(found)
     names = []
     if "type" in frame.columns:
         names.append(F.nullif(F.col("type").cast("string"), F.lit("")))
-    names.append(P.text_at(F.col("body"), "type"))
-    if dead_letter:
-        names.append(P.text_at(F.col("body"), "event", "name"))
+    names += [P.filled_text(F.col(column)) for column in found]
     mode = F.col("mode").cast("string") if "mode" in frame.columns else F.lit("")
-    return bodied.select(
+    return cut.select(
         F.lit(table.name).alias("source_table"),
-        P.event_name(names).alias("event_table"),
         F.coalesce(*names, F.lit("")).alias("raw_type"),
         F.coalesce(mode, F.lit("")).alias("mode"),
         "payload",
         "valid",
         "body",
-    )
+    ).withColumn("event_table", P.event_name([F.col("raw_type")]))
 
 
 def parsed_dead_letters(tables: list[PayloadTable], windows: Windows | None) -> DataFrame:
