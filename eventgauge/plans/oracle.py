@@ -943,7 +943,7 @@ FINAL["raw_parameter_types"] = _types("kinds_all")
 def _redaction() -> str:
     current, inner = "t0", "select doc_id, coalesce(text, '') as t0 from documents"
     counts = []
-    for index, (name, pattern, replacement) in enumerate(redact.RULES, start=1):
+    for index, (name, pattern, replacement, _) in enumerate(redact.RULES, start=1):
         quoted = pattern.replace("'", "''")
         target = replacement.replace("$1", "\\1")
         counts.append(name)

@@ -37,9 +37,8 @@ def known_tables(
 def parsed(table: PayloadTable, windows: Windows | None, dead_letter: bool = False) -> DataFrame:
     """Payload rows of the window with their parsed value and event name.
 
-    Columns: ``source_table, event_table, raw_type, mode, valid, body`` and, kept
-    for tests and drill-downs, ``payload``.  ``body`` is the enclosed VARIANT and is
-    NULL unless the payload is one valid JSON value.
+    Columns: ``source_table, raw_type, mode, valid, body, event_table``.  ``body`` is
+    the enclosed VARIANT and is NULL unless the payload is one valid JSON value.
     """
     frame = table.frame
     if windows is not None:
@@ -63,10 +62,14 @@ def parsed(table: PayloadTable, windows: Windows | None, dead_letter: bool = Fal
         F.lit(table.name).alias("source_table"),
         F.coalesce(*names, F.lit("")).alias("raw_type"),
         F.coalesce(mode, F.lit("")).alias("mode"),
-        "payload",
         "valid",
         "body",
-    ).withColumn("event_table", P.event_name([F.col("raw_type")]))
+    ).select(
+        "*",
+        # Generated, not projected: a later filter on the name would otherwise be pushed
+        # below the parsing and repeat it for every reference inside the expression.
+        F.explode(F.array(P.event_name([F.col("raw_type")]))).alias("event_table"),
+    )
 
 
 def parsed_dead_letters(tables: list[PayloadTable], windows: Windows | None) -> DataFrame:
