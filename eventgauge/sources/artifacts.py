@@ -1,8 +1,8 @@
 """Writing and reading the frames of a run.
 
-Every artifact is a folder of its own, partitioned by run.  Spark's commit protocol
-makes a rerun of one run replace its partition as a whole; the latest run is found
-by its id, so no second copy has to be kept in step.
+Every artifact is a folder with one subfolder per run, laid out as a partition.
+Writing a run again replaces its subfolder as a whole, also when the result is empty;
+the latest run is found by its id, so no second copy has to be kept in step.
 """
 
 from __future__ import annotations
@@ -33,19 +33,13 @@ def write_artifact(
     """Write one frame of a run; writing it again replaces it."""
     if fmt not in FORMATS:
         raise ValueError(f"artifacts are written as {', '.join(FORMATS)}, not {fmt!r}")
-    path = f"{root.rstrip('/')}/{artifact}"
-    writer = (flat(frame) if fmt == "csv" else frame).withColumn("run_id", F.lit(run_id)).write
+    path = f"{root.rstrip('/')}/{artifact}/run_id={run_id}"
+    writer = (flat(frame) if fmt == "csv" else frame).write
     if fmt == "csv":
         writer = writer.option("header", "true")
     if fmt == "json":
         writer = writer.option("ignoreNullFields", "false")
-    (
-        writer.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .format(fmt)
-        .save(path)
-    )
+    writer.mode("overwrite").format(fmt).save(path)
     return path
 
 
@@ -65,10 +59,10 @@ def read_artifact(
 ) -> DataFrame:
     """Rows of one run, or of the latest run when none is named."""
     reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
-    # Run ids such as 20240130_180000 must not be read as numbers.
     if schema is not None:
         reader = reader.schema(f"{schema}, run_id string")
     frame = reader.format(fmt).load(f"{root.rstrip('/')}/{artifact}")
+    # A run id of digits only is read from its folder name as a number.
     frame = frame.withColumn("run_id", F.col("run_id").cast("string"))
     if run_id is not None:
         return frame.filter(F.col("run_id") == run_id)
