@@ -173,14 +173,20 @@ def burst_annotation(events: DataFrame) -> DataFrame:
     """Every (time, adid, key) group with the totals of its second.
 
     The per-second totals are aggregated and joined back instead of computed in a
-    window, because a window would gather all groups of one busy second in one task;
-    a join partition of that kind is split by adaptive execution.
+    window, because a window would gather all groups of one busy second in one task.
+    The identifier of the totals is rebuilt, so that this side is exchanged for the
+    join as well: adaptive execution splits a skewed partition only between two
+    exchanges of the join's own.
     """
     groups = event_groups(events)
-    seconds = groups.groupBy(*SECOND).agg(
-        F.sum("group_rows").alias("rows_in_second"),
-        F.count(F.lit(1)).alias("unique_event_keys"),
-        F.min("event_key").alias("first_event_key"),
+    seconds = (
+        groups.groupBy(*SECOND)
+        .agg(
+            F.sum("group_rows").alias("rows_in_second"),
+            F.count(F.lit(1)).alias("unique_event_keys"),
+            F.min("event_key").alias("first_event_key"),
+        )
+        .withColumn("adid", F.concat("adid", F.lit("")))
     )
     return groups.join(seconds, list(SECOND)).select(
         *GROUP,

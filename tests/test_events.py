@@ -100,6 +100,33 @@ def test_one_hot_second_is_counted_whole(spark):
     assert row.replicated_rows == (7 + 1400) - 8
 
 
+def test_hot_second_is_split_in_the_join(spark):
+    hot = [("a", DAY, "bot", "u", "s", f"key number {i}", "1") for i in range(6000)]
+    rest = [("a", DAY + timedelta(minutes=i), f"p{i}", "u", "s", "k", "1") for i in range(2000)]
+    held = spark.createDataFrame(hot + rest, SCHEMA).repartition(16)
+    windows = Windows.of("7 days", "14 days", "2024-01-08")
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        source_of = EventSource(held, name_column="event_table")
+        found = E.burst_annotation(canonical_events([source_of], Settings(), windows))
+        assert len(found.collect()) == 8000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_step_exceptions_and_skips(spark):
     data = [
         ("a", DAY, None, None, None, "k", "1"), ("a", DAY, None, None, None, "k", "2"),
