@@ -33,9 +33,11 @@ def text(column: str) -> Column:
 
 
 def _missing_sql(value: str) -> str:
+    """Cheap length and prefix tests come first: few values need a new string."""
     return (
-        f"coalesce(trim({value}) = '' or {value} = '{ZERO_UUID}'"
-        f" or lower({value}) = '{NULL_WORD}', true)"
+        f"coalesce({value} = '' or {value} = '{ZERO_UUID}'"
+        f" or (octet_length({value}) = {len(NULL_WORD)} and lower({value}) = '{NULL_WORD}')"
+        f" or (startswith({value}, ' ') and trim({value}) = ''), true)"
     )
 
 
