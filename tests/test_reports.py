@@ -6,7 +6,13 @@ from eventgauge import EventSource, Settings, Windows
 from eventgauge.operators import drilldown, findings
 from eventgauge.plans import quality_run
 from eventgauge.sources import artifacts
-from eventgauge.sources.catalog import TableEntry, event_sources, table_inventory
+from eventgauge.sources.catalog import (
+    TableEntry,
+    catalog_entries,
+    event_sources,
+    select_event_tables,
+    table_inventory,
+)
 from eventgauge.sources.events import canonical_events, event_times
 from eventgauge.sources.kept import kept, small_side
 
@@ -189,6 +195,26 @@ def test_inventory(spark):
     assert [s.name for s in event_sources(entries, ["event_a", "event_b", "event_c", "gone"])] == ["event_a"]
 
 
+def test_catalogue_to_run(spark):
+    spark.sql("create database if not exists quality_test")
+    data = [("event_a", DAY, "x", "u", "s", str(i), "web", "1") for i in range(4)]
+    frame = spark.createDataFrame(data, SCHEMA).drop("event_table")
+    for name in ("event_a", "event_debug_b", "other"):
+        frame.write.mode("overwrite").saveAsTable(f"quality_test.{name}")
+    spark.sql("create or replace view quality_test.event_view as select * from quality_test.event_a")
+    settings = Settings({**CONFIG, "table_blacklist": ["EVENT_DEBUG_*"]})
+    entries = catalog_entries(spark, "quality_test", settings)
+    assert sorted(e.name for e in entries) == ["event_a", "event_debug_b", "event_view"]
+    sizes = {r.table_name: r.estimated_rows for r in table_inventory(spark, entries, settings).collect()}
+    chosen = select_event_tables(sizes, settings).chosen
+    sources = event_sources(entries, chosen)
+    assert sorted(s.name for s in sources) == ["event_a", "event_debug_b"]
+    out = quality_run.run(spark, sources, settings, "2024-01-08")
+    assert rows(out["event_quality"], "event_table", "rows_in_range") == [("event_a", 4)]
+    assert {r.event_table for r in out["parameter_quality"].collect()} == {"event_a"}
+    assert "inferred_contract" in out
+
+
 def test_artifacts_replace_one_run_and_keep_others(spark, tmp_path):
     root = str(tmp_path)
     frame = spark.createDataFrame([("a", ["x"], 1)], "event_table string, tags array<string>, n long")
