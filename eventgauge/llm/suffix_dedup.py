@@ -36,7 +36,7 @@ from eventgauge.llm.shared import LAST, CELLS, flat_bytes, mixed, steps, stored,
 LENGTH = 200
 GRAM = 32
 #: Bytes of distinct pieces a shard sorts, on average, and different pieces of one anchor in it.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
 SHARD_PIECES = 8192
 LEAST_SHARDS = 48
 #: Rows of sorted keys a merging task holds, on average.
@@ -82,78 +82,86 @@ def runs(flat: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[n
     return text[at], inside[at], np.diff(np.append(at, len(chosen))), hashes[chosen[at].astype(np.int64)]
 
 
-def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes in the order of their first `depth` bytes at least, their ranks, and 8-byte keys.
+def suffix_array(data: np.ndarray, room: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes with at least `depth` bytes of room, in the order of those bytes; 8-byte keys.
 
     Larsson-Sadakane: suffixes are sorted by eight bytes; groups that are not yet sorted are
-    refined by the ranks of the suffixes 8, 16, 32, ... bytes further on.
+    refined by the ranks of the suffixes 8, 16, 32, ... bytes further on.  A suffix takes part
+    in a round only if its piece still has the bytes that the round compares.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
     keys = np.zeros(n + depth + 8, np.uint64)
     for k in range(8):
         keys |= padded[k : k + len(keys)].astype(np.uint64) << np.uint64(56 - 8 * k)
-    order = np.argsort(keys[:n], kind="stable").astype(np.int64)
+    order = np.argsort(keys[:n]).astype(np.int32)
+    room = room.astype(np.int32)
     ordered = keys[order]
     first = np.ones(n, bool)
     first[1:] = ordered[1:] != ordered[:-1]
-    rank = np.empty(n + 1, np.int64)
-    rank[n] = -1
-    heads = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    rank[order] = heads
-    width = 8
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    # From here on only suffixes that still take part, group after group.
+    active, width = order, 8
     while width < depth:
-        single = first & np.append(first[1:], True)
-        open_ = np.flatnonzero(~single)
-        if not len(open_):
+        step = min(width, depth - width)
+        active = active[room[active] >= width + step]
+        group = rank[active]
+        # Groups of one are sorted.
+        alone = np.ones(len(group), bool)
+        alone[1:] &= group[1:] != group[:-1]
+        alone[:-1] &= group[1:] != group[:-1]
+        active, group = active[~alone], group[~alone]
+        if not len(active):
             break
-        suffixes = order[open_]
-        group = rank[suffixes]
-        both = (group << 32) | (rank[np.minimum(suffixes + width, n)] + 1)
-        by = np.argsort(both, kind="stable")
-        both = both[by]
-        order[open_] = suffixes[by]
+        both = (group.astype(np.int64) << 32) | rank[active + step]
+        by = np.argsort(both)
+        active, both = active[by], both[by]
         new = np.ones(len(both), bool)
         new[1:] = both[1:] != both[:-1]
-        first[open_] = new
-        rank[order[open_]] = np.maximum.accumulate(np.where(new, open_, 0))
-        width *= 2
-    rank[order] = np.arange(n)
-    return order, rank[:n], keys
+        group = both >> 32
+        begins = np.ones(len(both), bool)
+        begins[1:] = group[1:] != group[:-1]
+        place = np.arange(len(both))
+        inside = place - np.maximum.accumulate(np.where(begins, place, 0))
+        rank[active] = np.maximum.accumulate(np.where(new, group + inside, 0))
+        width += step
+    usable = np.flatnonzero(room >= depth)
+    return usable[np.argsort(rank[usable], kind="stable")], keys
 
 
 def common_prefixes(
-    order: np.ndarray, rank: np.ndarray, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int
+    order: np.ndarray, keys: np.ndarray, starts: np.ndarray, windows: np.ndarray, size: int, most: int
 ) -> np.ndarray:
-    """For each rank the bytes (at most `most`) in common with the suffix before it.
+    """For each suffix of `order` the bytes (at most `most`) in common with the one before it.
 
     Kasai: the suffix one byte further on shares at least one byte less, if the neighbour's next
-    suffix is still before it (suffixes equal over the sorted depth stand in any order).  All
-    pieces are walked side by side, eight bytes a comparison.
+    suffix is still before it (suffixes equal over the sorted depth stand in any order).  The
+    first `windows` suffixes of all pieces are walked side by side, eight bytes a comparison.
     """
     out = np.zeros(len(order), np.int64)
-    last = len(order) - 1
-    by = np.argsort(-sizes, kind="stable")
-    starts, sizes = starts[by], sizes[by]
+    rank = np.full(size + 1, size + 1, np.int64)
+    rank[order] = np.arange(len(order))
+    by = np.argsort(-windows, kind="stable")
+    starts, windows = starts[by], windows[by]
     held = np.zeros(len(starts), np.int64)
-    neighbour = np.zeros(len(starts), np.int64)
-    for step in range(int(sizes[0]) if len(sizes) else 0):
-        lanes = int(np.searchsorted(-sizes, -step, side="left"))
+    neighbour = np.full(len(starts), size - 1, np.int64)
+    for step in range(int(windows[0]) if len(windows) else 0):
+        lanes = int(np.searchsorted(-windows, -step, side="left"))
         here = starts[:lanes] + step
         before = rank[here]
         other = order[np.maximum(before - 1, 0)]
         same = np.maximum(held[:lanes] - 1, 0)
-        same[(before == 0) | (rank[np.minimum(neighbour[:lanes] + 1, last)] >= before)] = 0
+        same[(before == 0) | (rank[neighbour[:lanes] + 1] >= before)] = 0
         going = np.flatnonzero((same < most) & (before > 0))
         while len(going):
             at = same[going]
             x = keys[here[going] + at] ^ keys[other[going] + at]
             whole = x == 0
-            # The number of equal leading bytes, from the position of the highest set bit.
             bits = np.zeros(len(x), np.int64)
+            # The number of equal leading bytes of those that differ.
             part = x[~whole]
-            for k in range(7, 0, -1):
-                bits[~whole] += (part < np.uint64(1 << (8 * k))).astype(np.int64)
+            bits[~whole] = sum((part < np.uint64(1 << (8 * k))).astype(np.int64) for k in range(1, 8))
             bits[whole] = 8
             same[going] = at + bits
             going = going[whole & (same[going] < most)]
@@ -169,19 +177,16 @@ def repeated_windows(
     data = np.frombuffer(b"".join(pieces), np.uint8)
     sizes = np.array([len(p) for p in pieces], np.int64)
     starts = np.cumsum(sizes) - sizes
-    order, rank, keys = suffix_array(data, length)
-    common = common_prefixes(order, rank, keys, starts, sizes, length)
     owner = np.repeat(np.arange(len(pieces)), sizes)
     inside = np.arange(len(data)) - starts[owner]
-    usable = inside <= sizes[owner] - length
+    order, keys = suffix_array(data, sizes[owner] - inside, length)
+    common = common_prefixes(order, keys, starts, sizes - length + 1, len(data), length)
     interval = np.cumsum(common < length) - 1
-    weight = np.bincount(interval, np.where(usable, counts[owner], 0)[order])
-    mine = interval[rank]
-    twice = usable & (weight[mine] >= 2)
-    lone = usable & ~twice
-    stands = lone.copy()
-    places = np.flatnonzero(twice)
-    stands[places[np.unique(mine[places], return_index=True)[1]]] = True
+    weight = np.bincount(interval, counts[owner[order]])
+    twice, stands = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    often = weight[interval] >= 2
+    twice[order[often]] = True
+    stands[order[(common < length) | ~often]] = True
     split = lambda mask: np.split(inside[mask], np.searchsorted(np.flatnonzero(mask), starts[1:]))
     return split(twice), split(stands)
 
@@ -248,6 +253,10 @@ def found_in_shards(distinct: DataFrame, length: int, shard_pieces: int) -> Data
     total = distinct.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(LEAST_SHARDS, int(total // SHARD_BYTES) + 1)
     sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("pieces"))
+    # The only piece of an anchor: its windows differ from each other, so they occur as often as it does.
+    only = distinct.join(sizes.filter("pieces = 1").select("anchor"), "anchor").filter("n > 1")
+    whole = only.select("piece", F.array(F.lit(0), (F.octet_length("content") - length).cast("int")).alias("runs"))
+    distinct = distinct.join(sizes.filter("pieces > 1").select("anchor"), "anchor")
     wide = sizes.filter(F.col("pieces") > shard_pieces).select(
         "anchor", F.ceil(F.col("pieces") / shard_pieces).cast("int").alias("parts")
     )
@@ -278,7 +287,7 @@ def found_in_shards(distinct: DataFrame, length: int, shard_pieces: int) -> Data
     sorted_ = dealt.withColumn("shard", spread).select("shard", "anchor", "piece", "part", "n", "content")
     found = stored(sorted_.groupBy("shard").applyInPandas(work, schema), "shards")
     inside = found.filter(F.size("runs") > 0).select("piece", "runs")
-    return inside.unionByName(merged(found))
+    return inside.unionByName(merged(found)).unionByName(whole)
 
 
 def merged(found: DataFrame) -> DataFrame:
@@ -306,7 +315,7 @@ def merged(found: DataFrame) -> DataFrame:
 def spans(documents: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECES) -> tuple[DataFrame, DataFrame]:
     """The texts that hold repeated anchors (key, text), and their spans (key, spans)."""
     rows = numbered(documents)
-    marked = anchors(rows, length)
+    marked = stored(anchors(rows, length), "anchors")
     often = marked.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     lists = marked.join(often, "anchor").groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("runs"))
     held = stored(rows.join(lists, "key").select("key", "text", "runs"), "texts")
