@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventgauge.llm import chat_format, exact_dedup, jaccard_join, packing, quality_rules, suffix_dedup, toxicity, warc
+from eventgauge.llm import chat_format, exact_dedup, jaccard_join, lattice_lm, packing, piece_sampling, quality_rules, suffix_dedup, toxicity, warc
 from eventgauge.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_sentencepiece_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_sampling.sampled(table(spark, folder, "documents"), public_tokenizers.path(PIECE_BPE))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicated(table(spark, folder, "documents"))
 
@@ -32,6 +36,10 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, folder, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice_lm.scored(table(spark, folder, "documents"), public_tokenizers.path(PIECE_BPE))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.joined(table(spark, folder, "documents"))
 
