@@ -19,7 +19,7 @@ from eventgauge.operators import events as E
 from eventgauge.operators.status import NO_ROWS
 from eventgauge.settings import Settings
 from eventgauge.sources.events import without_blacklisted
-from eventgauge.sources.kept import kept, small_side
+from eventgauge.sources.kept import kept
 
 SAMPLES_PER_TABLE = 50
 STEP_ROWS_PER_TABLE = 100
@@ -46,9 +46,7 @@ def candidates(metrics: DataFrame, settings: Settings, limit: int | None = None)
         "score", V.ratio(worst, F.greatest(F.col("rows_in_range"), F.lit(1).cast("long")))
     )
     chosen = without_blacklisted(scored.filter("score > 0"), settings)
-    return chosen.orderBy(F.col("score").desc(), "event_table").limit(
-        settings.drilldown["max_tables"] if limit is None else limit
-    )
+    return _first(chosen.orderBy(F.col("score").desc(), "event_table"), settings, limit)
 
 
 def flagged_tables(status: DataFrame, settings: Settings, limit: int | None = None) -> DataFrame:
@@ -56,16 +54,33 @@ def flagged_tables(status: DataFrame, settings: Settings, limit: int | None = No
     found = without_blacklisted(
         status.filter(~F.col("status").isin("ok", NO_ROWS)), settings
     ).select("event_table", "status")
-    return found.orderBy("event_table").limit(
-        settings.drilldown["max_tables"] if limit is None else limit
-    )
+    return _first(found.orderBy("event_table"), settings, limit)
+
+
+def _first(ordered: DataFrame, settings: Settings, limit: int | None) -> DataFrame:
+    """All rows, unless the caller or the configuration sets a limit."""
+    most = settings.drilldown["max_tables"] if limit is None else limit
+    return ordered if most is None else ordered.limit(most)
+
+
+def chosen_tables(metrics: DataFrame, status: DataFrame, settings: Settings) -> DataFrame:
+    """The tables to drill into: those configured, else those scored, else those flagged.
+
+    A table the configuration names is taken whether or not it has a problem.  Flagged
+    tables are added to the scored ones, so a table with any flag has its samples.
+    """
+    configured = settings.drilldown["tables"]
+    if configured:
+        return metrics.filter(V.any_table("event_table", configured)).select("event_table")
+    scored = candidates(metrics, settings).select("event_table")
+    return scored.unionByName(flagged_tables(status, settings).select("event_table")).distinct()
 
 
 def _of_tables(events: DataFrame, tables: DataFrame | None) -> DataFrame:
     """Events of the given tables; the list holds one row per event table."""
     if tables is None:
         return events
-    return events.join(small_side(kept(tables.select("event_table"))), "event_table", "left_semi")
+    return events.join(tables.select("event_table"), "event_table", "left_semi")
 
 
 def _label_counts(
@@ -77,7 +92,12 @@ def _label_counts(
     other columns are carried along.  The rows of one group combine per label on the
     map side, however many there are.
     """
-    rows = events.join(small_side(chosen), keys).select(
+    # New names on the chosen side: it was derived from the same events.
+    renamed = chosen.select(
+        *[F.col(c).alias(f"chosen_{c}" if c in keys else c) for c in chosen.columns]
+    )
+    same = [F.col(k) == F.col(f"chosen_{k}") for k in keys]
+    rows = events.join(renamed, same).select(
         *chosen.columns, *[expr.alias(name) for name, expr in labels.items()]
     )
     long = rows.unpivot(chosen.columns, list(labels), "label", "value")
@@ -192,16 +212,31 @@ def future_samples(
     return top.withColumn("checked_at", F.lit(checked))
 
 
-def sample_summary(samples: DataFrame, kind: str, rows: str, distinct: str, limit: int = 5) -> DataFrame:
-    """Sample groups, largest group and most distinct ids per table; the top tables."""
-    return (
-        samples.groupBy("event_table")
-        .agg(
+def sample_summary(events: DataFrame, threshold: int, settings: Settings) -> DataFrame:
+    """Duplicate and burst groups per table: how many, the largest, the most distinct ids.
+
+    All groups count, whatever the sample frames show; bursts only where they are checked.
+    Main identifiers are grouped before they are counted, so no group is gathered.
+    """
+    keyed = events.filter(F.col("adid").isNotNull() & F.col("event_key").isNotNull())
+    groups = list(E.GROUP)
+    named = keyed.groupBy(*groups, "main_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = named.groupBy(*groups).agg(
+        F.sum("n").alias("n"), F.count("main_id").alias("unique")
+    )
+    seconds = E.event_groups(events).groupBy(*E.SECOND).agg(
+        F.sum("group_rows").alias("n"), F.count(F.lit(1)).alias("unique")
+    )
+    checked = ~V.any_table("event_table", sorted(settings.same_second_allowed))
+
+    def summed(found: DataFrame, kind: str) -> DataFrame:
+        return found.groupBy("event_table").agg(
             F.count(F.lit(1)).alias("sample_groups"),
-            F.max(rows).alias("max_rows"),
-            F.max(distinct).alias("max_unique"),
-        )
-        .withColumn("kind", F.lit(kind))
-        .orderBy(F.col("max_rows").desc(), "event_table")
-        .limit(limit)
+            F.max("n").alias("max_rows"),
+            F.max("unique").alias("max_unique"),
+        ).withColumn("kind", F.lit(kind))
+
+    duplicates = summed(repeated.filter("n > 1"), "duplicate")
+    return duplicates.unionByName(
+        summed(seconds.filter((F.col("unique") > threshold) & checked), "burst")
     )

@@ -69,12 +69,14 @@ def _exempt(settings: Settings, check: str) -> Column:
 def missing_identifiers(events: DataFrame, settings: Settings) -> DataFrame:
     """Rows without each identifier, with configured exceptions taken out.
 
-    A check that is switched off for a table yields NULL, not zero.
+    A check that is switched off for a table yields NULL, not zero.  The ``raw_``
+    columns beside them count every row, whatever the configuration excepts.
     """
     counts = []
     for column, (metric, check) in CHECKS.items():
-        missing = F.col(column).isNull() & ~_exempt(settings, check)
-        counts.append(F.count_if(missing).alias(f"{metric}_rows"))
+        missing = F.col(column).isNull()
+        counts.append(F.count_if(missing & ~_exempt(settings, check)).alias(f"{metric}_rows"))
+        counts.append(F.count_if(missing).alias(f"raw_{metric}_rows"))
     counted = events.groupBy("event_table").agg(
         F.count(F.lit(1)).alias("rows_in_range"),
         F.min("event_time").alias("min_event_time"),
@@ -241,6 +243,21 @@ RATES = {
     "replicated": "replicated_rows",
     "same_second_burst": "same_second_burst_rows",
 }
+#: Metrics that configured exceptions change.
+EXCEPTED = (*(metric for metric, _ in CHECKS.values()), "same_second_burst")
+
+
+def raw_rows(metrics: DataFrame, metric: str) -> Column:
+    """The count of a metric before exceptions; frames without exceptions have one count."""
+    raw = f"raw_{metric}_rows"
+    return F.col(raw if raw in metrics.columns else f"{metric}_rows")
+
+
+def raw_share(metrics: DataFrame, metric: str) -> Column:
+    """The share of a metric before exceptions; frames without exceptions have one share."""
+    if f"raw_{metric}_rows" in metrics.columns:
+        return V.pct(raw_rows(metrics, metric), F.col("rows_in_range"))
+    return F.col(f"{metric}_pct")
 
 
 def with_rates(metrics: DataFrame, rows: str = "rows_in_range") -> DataFrame:
@@ -271,7 +288,7 @@ def event_metrics(
     missing = missing_identifiers(events, settings)
     anomalies = anomaly_counts(events, settings.burst_threshold)
     history = history_counts(times, windows, settings)
-    joined = profiles
+    joined = profiles.drop("source")
     for part in (missing, anomalies, history):
         joined = joined.join(part, "event_table", "left")
 
@@ -285,12 +302,17 @@ def event_metrics(
         counts[f"{metric}_rows"] = F.when(
             F.col(f"has_{column}") & ~off, F.coalesce(F.col(f"{metric}_rows"), zero)
         )
+        raw = f"raw_{metric}_rows"
+        counts[raw] = F.when(F.col(f"has_{column}"), F.coalesce(F.col(raw), zero))
     comparable = F.col("has_adid") & F.col("has_event_key")
     for name in ("duplicate_rows", "replicated_rows"):
         counts[name] = F.when(comparable, F.coalesce(F.col(name), zero))
     bursts_off = V.any_table(
         "event_table", settings.skipped_tables("skip_suspicious_same_second_check")
     )
+    counts["raw_same_second_burst_rows"] = F.when(
+        comparable, F.coalesce(F.col("same_second_burst_rows"), zero)
+    )
     counts["same_second_burst_rows"] = F.when(
         comparable & ~bursts_off, F.coalesce(F.col("same_second_burst_rows"), zero)
     )

@@ -28,9 +28,6 @@ SECTIONS = (
     ("expected", 12),
     ("investigate", 20),
 )
-FUTURE_TABLES = 8
-WARNING_TABLES = 8
-MISSING_ID_ROWS = 5
 UNPOPULATED_PREVIEW = 12
 # ---------------------------------------------------------------------------
 
@@ -230,7 +227,7 @@ def findings_report(
     flows: DataFrame | None = None,
     origins: DataFrame | None = None,
 ) -> DataFrame:
-    """All findings by section, each section in order and cut at its cap.
+    """All findings by section, numbered inside their section; ``short_report`` cuts them.
 
     A table without rows is only classified when flow evidence exists for it.  Every
     input is read a few times: pass results that have been kept.
@@ -275,8 +272,8 @@ def findings_report(
                 ],
             )
         )
-    # At most as many rows as the section may show, so one window over them is small.
-    groups = problem_groups(parameter_status, dict(SECTIONS)["value_parameters"]).withColumn(
+    # One row per parameter with a problem, which is the size of a schema, not of the data.
+    groups = problem_groups(parameter_status).withColumn(
         "position", F.row_number().over(W.partitionBy(F.lit(1)).orderBy("urgency"))
     )
     parts.append(
@@ -290,14 +287,14 @@ def findings_report(
         )
     )
     late = F.col("future_event_time_rows")
-    future = scan.filter(late > 0).orderBy(late.desc(), "event_table").limit(FUTURE_TABLES)
+    future = scan.filter(late > 0)
     parts.append(
         _findings(
             future,
             _entry("confirmed", 2, -late, "future_event_time", "future_event_time_rows", late, rows),
         )
     )
-    warned = scan.filter(F.size("schema_warnings") > 0).orderBy("event_table").limit(WARNING_TABLES)
+    warned = scan.filter(F.size("schema_warnings") > 0)
     parts.append(
         _findings(
             warned,
@@ -307,11 +304,10 @@ def findings_report(
             ),
         )
     )
-    first = missing_ids.orderBy(rows.desc(), "event_table", "step", "type").limit(MISSING_ID_ROWS)
     expected = F.col("expectation") == "expected"
     parts.append(
         _findings(
-            missing_id_expectation(first, settings),
+            missing_id_expectation(missing_ids, settings),
             _entry(
                 F.when(expected, "expected").otherwise("investigate"), 9, -rows,
                 F.concat(F.col("expectation"), F.lit("_missing_identifier")), "missing_pct",
@@ -323,18 +319,20 @@ def findings_report(
 
 
 def sectioned(findings: DataFrame) -> DataFrame:
-    """Number findings inside their section and cut each section at its cap."""
+    """Number findings inside their section."""
     order = W.partitionBy("section").orderBy(
         "source_rank", "order_key", "event_table", "parameter", "step", "issue"
     )
     ranked = findings.withColumn("rank", F.row_number().over(order))
-    caps = F.create_map(*[F.lit(part) for section in SECTIONS for part in section])
     places = F.create_map(
         *[F.lit(p) for i, (name, _) in enumerate(SECTIONS, start=1) for p in (name, i)]
     )
-    return (
-        ranked.filter(F.col("rank") <= max(cap for _, cap in SECTIONS))
-        .filter(F.col("rank") <= caps[F.col("section")])
-        .withColumn("section_order", places[F.col("section")])
-        .drop("source_rank", "order_key")
+    return ranked.withColumn("section_order", places[F.col("section")]).drop(
+        "source_rank", "order_key"
     )
+
+
+def short_report(findings: DataFrame) -> DataFrame:
+    """The first findings of each section, as many as a reader is shown."""
+    caps = F.create_map(*[F.lit(part) for section in SECTIONS for part in section])
+    return findings.filter(F.col("rank") <= caps[F.col("section")])

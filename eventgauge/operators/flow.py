@@ -14,7 +14,6 @@ from eventgauge.operators import contracts
 from eventgauge.operators.status import flags, severity
 from eventgauge.settings import PRIORITY_RANKS, Settings
 from eventgauge.sources.events import united
-from eventgauge.sources.kept import small_side
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -139,7 +138,7 @@ def _restricted(payloads: DataFrame, events: DataFrame | None) -> DataFrame:
     if events is None:
         return payloads
     names = events.select("event_table").distinct()
-    return payloads.join(small_side(names), "event_table", "left_semi")
+    return payloads.join(names, "event_table", "left_semi")
 
 
 def raw_types(payloads: DataFrame, events: DataFrame | None = None) -> DataFrame:
@@ -325,8 +324,8 @@ def parameter_pairs(
 ) -> DataFrame:
     """The (table, parameter) pairs to trace, most urgent first.
 
-    Problems about missing values, without those the configuration permits.  The
-    limit is the number of checks a run is configured to make.
+    Problems about missing values, without those the configuration permits.  Only a
+    limit that the caller or the configuration sets leaves pairs out.
     """
     problem = F.coalesce(F.col("problem"), F.lit(""))
     share = F.col("missing_pct")
@@ -347,11 +346,10 @@ def parameter_pairs(
     )
     once = W.partitionBy("event_table", "parameter").orderBy("priority_rank", "target_problem")
     unique = candidates.withColumn("n", F.row_number().over(once)).filter("n = 1").drop("n")
-    chosen = (
-        unique.orderBy("priority_rank", "event_table", "parameter")
-        .limit(settings.flow["max_parameter_checks"] if limit is None else limit)
-    )
-    return with_scope(chosen, contract).drop("priority_rank")
+    most = settings.flow["max_parameter_checks"] if limit is None else limit
+    if most is not None:
+        unique = unique.orderBy("priority_rank", "event_table", "parameter").limit(most)
+    return with_scope(unique, contract).drop("priority_rank")
 
 
 def with_scope(pairs: DataFrame, contract: DataFrame | None) -> DataFrame:
@@ -384,8 +382,7 @@ def parameter_origin(
 ) -> DataFrame:
     """Whether a missing target value was missing in the payload already.
 
-    ``pairs`` is bounded by the configured number of checks.  Each pair looks up the
-    evidence of its pooled aliases, so pairs that share aliases do not starve each
+    Each pair looks up the evidence of its pooled aliases, so pairs that share aliases do not starve each
     other.
     """
     session = {"session_id", *settings.aliases("session_id")}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventgauge.functions import values as V
-from eventgauge.operators.events import CHECKS, RATES
+from eventgauge.operators.events import CHECKS, RATES, raw_rows, raw_share
 from eventgauge.settings import Settings
 
 # ---------------------------------------------------------------------------
@@ -58,21 +58,24 @@ def event_status(metrics: DataFrame, settings: Settings) -> DataFrame:
 
 
 def problem_signal(metrics: DataFrame, settings: Settings) -> DataFrame:
-    """Add the number and share of rows that show any problem that is not allowed."""
-    def counted(column: str, allowed: list[str] | None = None) -> Column:
-        value = F.coalesce(F.col(column), F.lit(0).cast("long"))
+    """Add the number and share of rows that show any problem.
+
+    Counts are taken as they are; only three of them are left out, for listed tables.
+    """
+    def counted(metric: str, allowed: list[str] | None = None) -> Column:
+        value = F.coalesce(raw_rows(metrics, metric), F.lit(0).cast("long"))
         if not allowed:
             return value
         return F.when(V.any_table("event_table", allowed), F.lit(0).cast("long")).otherwise(value)
 
     total = (
-        counted("future_event_time_rows")
-        + counted("duplicate_rows")
-        + counted("missing_adid_rows")
-        + counted("missing_main_identifier_rows", settings.scan_skipped("main_id"))
-        + counted("missing_session_id_rows", settings.scan_skipped("session_id"))
-        + counted("missing_event_key_rows")
-        + counted("same_second_burst_rows", sorted(settings.same_second_allowed))
+        counted("future_event_time")
+        + counted("duplicate")
+        + counted("missing_adid")
+        + counted("missing_main_identifier", settings.scan_skipped("main_id"))
+        + counted("missing_session_id", settings.scan_skipped("session_id"))
+        + counted("missing_event_key")
+        + counted("same_second_burst", sorted(settings.same_second_allowed))
     )
     return metrics.withColumn("problem_signal_rows", total).withColumn(
         "problem_signal_pct", V.pct(F.col("problem_signal_rows"), F.col("rows_total"))
@@ -84,30 +87,30 @@ def scan_problems(metrics: DataFrame, settings: Settings) -> DataFrame:
 
     Needs the counts of ``event_metrics`` and its ``has_*`` columns.
     """
-    def some(column: str, allowed: list[str] | None = None) -> Column:
-        found = F.col(column) > 0
+    def some(metric: str, allowed: list[str] | None = None) -> Column:
+        found = raw_rows(metrics, metric) > 0
         return found & ~V.any_table("event_table", allowed) if allowed else found
 
     main_skipped = settings.scan_skipped("main_id")
     session_skipped = settings.scan_skipped("session_id")
     problems = flags(
         (F.col("rows_total") == 0, "No rows in selected period"),
-        (some("duplicate_rows"), "Duplicate event_time + adid + event_key rows found"),
+        (some("duplicate"), "Duplicate event_time + adid + event_key rows found"),
         (
-            some("same_second_burst_rows", sorted(settings.same_second_allowed)),
+            some("same_second_burst", sorted(settings.same_second_allowed)),
             "Same-second event bursts found",
         ),
         (
-            some("future_event_time_rows"),
+            some("future_event_time"),
             F.concat(F.lit("Future "), F.col("measurement_time_column"), F.lit(" rows found")),
         ),
-        (some("missing_adid_rows"), "Missing adid rows found"),
+        (some("missing_adid"), "Missing adid rows found"),
         (
-            some("missing_main_identifier_rows", main_skipped),
+            some("missing_main_identifier", main_skipped),
             f"Missing {settings.main_identifier} rows found",
         ),
-        (some("missing_session_id_rows", session_skipped), "Missing session_id rows found"),
-        (some("missing_event_key_rows"), "Missing event_key rows found"),
+        (some("missing_session_id", session_skipped), "Missing session_id rows found"),
+        (some("missing_event_key"), "Missing event_key rows found"),
     )
     accepted = {name: ", ".join(settings.aliases(name)) for name in ("main_id", "session_id")}
     warnings = flags(
@@ -156,7 +159,9 @@ def classified_findings(metrics: DataFrame, settings: Settings) -> DataFrame:
     """One row per finding of a table, sorted into what it means.
 
     Volume is only judged against a baseline of enough expected rows; activity
-    without such a baseline is reported as new.  Both directions are judged.
+    without such a baseline is reported as new.  Both directions are judged.  Missing
+    identifiers and bursts are judged by all rows; what the configuration allows is
+    then expected.
     """
     rows = F.col("rows_in_range")
     expected = F.col("expected_rows_from_lookback")
@@ -204,23 +209,24 @@ def classified_findings(metrics: DataFrame, settings: Settings) -> DataFrame:
             )
         )
     for name, check in CHECKS.values():
-        value = F.col(f"{name}_pct")
+        missing = raw_rows(metrics, name)
+        value = raw_share(metrics, name)
         allowed = V.any_table("event_table", settings.skipped_tables(check))
         found.append(
             _finding(
                 value >= settings.threshold(f"{name}_pct"),
                 F.when(allowed, "expected").otherwise("confirmed"),
-                f"{name}_high", f"{name}_pct", value, F.col(f"{name}_rows"),
+                f"{name}_high", f"{name}_pct", value, missing,
             )
         )
-    burst = F.col("same_second_burst_pct")
+    burst_rows = raw_rows(metrics, "same_second_burst")
+    burst = raw_share(metrics, "same_second_burst")
     allowed = V.any_table("event_table", sorted(settings.same_second_allowed))
     found.append(
         _finding(
             burst >= settings.threshold("same_second_burst_pct"),
             F.when(allowed, "expected").otherwise("investigate"),
-            "same_second_burst_high", "same_second_burst_pct", burst,
-            F.col("same_second_burst_rows"),
+            "same_second_burst_high", "same_second_burst_pct", burst, burst_rows,
         )
     )
     exploded = metrics.select(

@@ -61,14 +61,14 @@ from events"""
 BLOCKS["fx_source"] = """
 select event_id as row_id, ts as event_time,
   case when event_id % 101 = 0 then 'not json'
-       when event_id % 103 = 0 then '{"type":"app.ns.event_' || event_type || '","params":null}'
+       when event_id % 103 = 0 then '{"type":"app.ns.' || case event_type when 'error' then 'other_' else 'event_' end || event_type || '","params":null}'
        when event_id % 107 = 0 then '{"params":{"k":1}}'
-       else '{"type":"app.ns.event_' || event_type || '","params":{"k":' || cast(event_id % 50 as varchar)
+       else '{"type":"app.ns.' || case event_type when 'error' then 'other_' else 'event_' end || event_type || '","params":{"k":' || cast(event_id % 50 as varchar)
          || ',"session_uuid":' || case when event_id % 9 = 0 then 'null'
               else '"s' || cast(event_id % 400 as varchar) || '"' end
          || ',"region":"US","price":' || cast(event_id % 7 as varchar) || '.5,"vip":true}}' end as payload,
   case when event_id % 3 = 0 then '' else 'live' end as mode
-from events where event_type <> 'error'"""
+from events"""
 
 BLOCKS["fx_dlq"] = """
 select event_id as row_id, ts as event_time,
@@ -78,7 +78,7 @@ select event_id as row_id, ts as event_time,
        else '{"event":{"name":"legacy.event_' || event_type || '","parameters":{"k":1}},"validationErrors":["unknown event","code '
          || cast(event_id % 3 as varchar) || '"],"rejectedAt":"2024-01-0'
          || cast(1 + event_id % 9 as varchar) || 'T00:00:00Z"}' end as payload
-from events where event_id % 50 = 0"""
+from events"""
 
 # ---------------------------------------------------------------------------
 # Events
@@ -118,7 +118,11 @@ select event_table, count(*) as rows_in_range,
     as missing_main_identifier_rows,
   count(*) filter (where session_id is null
     and not (event_table = 'event_error' and (step is null or step in ('0')))) as missing_session_id_rows,
-  count(*) filter (where event_key is null) as missing_event_key_rows
+  count(*) filter (where event_key is null) as missing_event_key_rows,
+  count(*) filter (where adid is null) as raw_missing_adid_rows,
+  count(*) filter (where main_id is null) as raw_missing_main_identifier_rows,
+  count(*) filter (where session_id is null) as raw_missing_session_id_rows,
+  count(*) filter (where event_key is null) as raw_missing_event_key_rows
 from canon group by event_table"""
 BLOCKS["history"] = f"""
 select event_table,
@@ -132,7 +136,9 @@ select h.event_table, true as has_event_key, true as has_main, true as has_sessi
   m.missing_adid_rows, m.missing_main_identifier_rows, m.missing_session_id_rows,
   m.missing_event_key_rows, a.duplicate_rows, a.replicated_rows,
   case when h.event_table <> 'event_click' then a.same_second_burst_rows end as same_second_burst_rows,
-  h.lookback_rows, h.future_event_time_rows
+  h.lookback_rows, h.future_event_time_rows,
+  m.raw_missing_adid_rows, m.raw_missing_main_identifier_rows, m.raw_missing_session_id_rows,
+  m.raw_missing_event_key_rows, a.same_second_burst_rows as raw_same_second_burst_rows
 from history h left join missing_counts m using (event_table) left join anomalies a using (event_table)
 union all
 select 'event_order', false, false, false,
@@ -141,7 +147,10 @@ select 'event_order', false, false, false,
     and o_custkey is null),
   null, null, null, null, null, null,
   count(*) filter (where o_orderdate >= timestamp '2024-01-10' and o_orderdate < timestamp '2024-01-24'),
-  count(*) filter (where o_orderdate > timestamp '2024-01-31 00:10:00')
+  count(*) filter (where o_orderdate > timestamp '2024-01-31 00:10:00'),
+  count(*) filter (where o_orderdate >= timestamp '2024-01-24' and o_orderdate < timestamp '2024-01-31'
+    and o_custkey is null),
+  null, null, null, null
 from orders"""
 
 
@@ -182,13 +191,13 @@ select *, coalesce(nullif({_flagged(_STATUS_PAIRS, ', ')}, ''), 'ok') as status
 _SCORE = " + ".join(
     [
         "coalesce(future_event_time_rows, 0)", "coalesce(duplicate_rows, 0)",
-        "coalesce(missing_adid_rows, 0)",
+        "coalesce(raw_missing_adid_rows, 0)",
         "case when event_table in ('event_signup', 'event_first_open') then 0"
-        " else coalesce(missing_main_identifier_rows, 0) end",
+        " else coalesce(raw_missing_main_identifier_rows, 0) end",
         "case when event_table = 'event_first_open' then 0"
-        " else coalesce(missing_session_id_rows, 0) end",
-        "coalesce(missing_event_key_rows, 0)",
-        "case when event_table = 'event_click' then 0 else coalesce(same_second_burst_rows, 0) end",
+        " else coalesce(raw_missing_session_id_rows, 0) end",
+        "coalesce(raw_missing_event_key_rows, 0)",
+        "case when event_table = 'event_click' then 0 else coalesce(raw_same_second_burst_rows, 0) end",
     ]
 )
 BLOCKS["signal"] = f"select *, cast({_SCORE} as bigint) as problem_signal_rows from metrics"
@@ -198,17 +207,17 @@ _PROBLEMS = _flagged(
         ("rows_in_range = 0", "'No rows in selected period'"),
         ("duplicate_rows > 0", "'Duplicate event_time + adid + event_key rows found'"),
         (
-            "same_second_burst_rows > 0 and event_table <> 'event_click'",
+            "raw_same_second_burst_rows > 0 and event_table <> 'event_click'",
             "'Same-second event bursts found'",
         ),
         ("future_event_time_rows > 0", f"'Future ' || {_TIME} || ' rows found'"),
-        ("missing_adid_rows > 0", "'Missing adid rows found'"),
+        ("raw_missing_adid_rows > 0", "'Missing adid rows found'"),
         (
-            "missing_main_identifier_rows > 0 and event_table not in ('event_signup', 'event_first_open')",
+            "raw_missing_main_identifier_rows > 0 and event_table not in ('event_signup', 'event_first_open')",
             "'Missing user_id rows found'",
         ),
-        ("missing_session_id_rows > 0", "'Missing session_id rows found'"),
-        ("missing_event_key_rows > 0", "'Missing event_key rows found'"),
+        ("raw_missing_session_id_rows > 0", "'Missing session_id rows found'"),
+        ("raw_missing_event_key_rows > 0", "'Missing event_key rows found'"),
     ],
     "; ",
 )
@@ -252,10 +261,10 @@ _CLASSES = [
            "rows_in_range"),
     _class("future_event_time_rows > 0", "'confirmed'", "future_event_time",
            "future_event_time_rows", "future_event_time_rows", "future_event_time_rows"),
-    _class("same_second_burst_pct >= 0.01",
+    _class("raw_same_second_burst_rows / nullif(rows_in_range, 0)::double >= 0.01",
            "case when event_table = 'event_click' then 'expected' else 'investigate' end",
-           "same_second_burst_high", "same_second_burst_pct", "same_second_burst_pct",
-           "same_second_burst_rows"),
+           "same_second_burst_high", "same_second_burst_pct",
+           "raw_same_second_burst_rows / nullif(rows_in_range, 0)::double", "raw_same_second_burst_rows"),
 ]
 for _name, _skipped in (
     ("missing_adid", "'event_view'"), ("missing_main_identifier", "'event_signup'"),
@@ -263,9 +272,10 @@ for _name, _skipped in (
 ):
     _CLASSES.append(
         _class(
-            f"{_name}_pct >= 0.01",
+            f"round(raw_{_name}_rows / nullif(rows_in_range, 0)::double, 6) >= 0.01",
             f"case when event_table in ({_skipped}) then 'expected' else 'confirmed' end",
-            f"{_name}_high", f"{_name}_pct", f"{_name}_pct", f"{_name}_rows",
+            f"{_name}_high", f"{_name}_pct", f"raw_{_name}_rows / nullif(rows_in_range, 0)::double",
+            f"raw_{_name}_rows",
         )
     )
 
@@ -575,7 +585,7 @@ select event_table, parameter, missing_pct as target_missing_pct, problem as tar
 from parameter_frame
 where status = 'problem' and (regexp_matches(problem, 'missing|unpopulated') or missing_pct > 0)
   and not (parameter = 'user_id' and event_table = 'event_signup')
-order by {_rank('report_priority')}, event_table, parameter limit 100"""
+order by {_rank('report_priority')}, event_table, parameter"""
 BLOCKS["origins_joined"] = """
 select p.*, coalesce(s.raw_rows, 0) as raw_rows,
   case when p.parameter = 'session_id' then 'session_id,session_uuid,sessions_uuid' else p.parameter end
@@ -741,7 +751,7 @@ from {source} where missing_session_id_pct > 0"""
 
 
 BLOCKS["missing_first"] = """
-select * from missing_ids order by rows_in_range desc, event_table, step, type limit 5"""
+select * from missing_ids"""
 BLOCKS["expectation_first"] = _expectation("missing_first")
 BLOCKS["late"] = """
 select event_table, created_at as event_time from fx_events where created_at > timestamp '2024-01-28 12:10:00'"""
@@ -793,15 +803,14 @@ _FINDINGS = [
              _traced, "severity", "parameter"),
     _finding("'value_parameters'", 4, "position", "problems", "'missing_pct'", "max_missing_pct",
              "affected_events",
-             "(select *, row_number() over (order by urgency) as position from problem_groups qualify position <= 25)",
+             "(select *, row_number() over (order by urgency) as position from problem_groups)",
              "report_priority", "parameter", table="first_table"),
     _finding("'confirmed'", 2, "-future_event_time_rows", "'future_event_time'", "'future_event_time_rows'",
              "future_event_time_rows", "rows_in_range",
-             "(select * from scan where future_event_time_rows > 0"
-             " order by future_event_time_rows desc, event_table limit 8)"),
+             "(select * from scan where future_event_time_rows > 0)"),
     _finding("'confirmed'", 3, "0", "schema_warnings", "'schema_warnings'",
              "len(string_split(schema_warnings, '; '))", "rows_in_range",
-             "(select * from scan where schema_warnings <> '' order by event_table limit 8)"),
+             "(select * from scan where schema_warnings <> '')"),
     _finding("case when expectation = 'expected' then 'expected' else 'investigate' end", 9, "-rows_in_range",
              "expectation || '_missing_identifier'", "'missing_pct'", "missing_pct", "rows_in_range",
              "expectation_first", parameter="identifier", step="step"),
@@ -1143,13 +1152,15 @@ select event_table, {FORMAT.format('event_time')} as event_time, rank, '2024-01-
 from (select *, row_number() over (partition by event_table order by event_time desc) as rank from late)
 where rank <= 50"""
 FINAL["sample_summary"] = """
-select * from (select event_table, count(*) as sample_groups, max(rows_same_event_key_adid_time) as max_rows,
-  max(unique_main_identifiers) as max_unique, 'duplicate' as kind from dup_samples group by event_table
-  order by max_rows desc, event_table limit 5)
+select event_table, count(*) as sample_groups, max(n) as max_rows, max(ids) as max_unique, 'duplicate' as kind
+from (select event_table, count(*) as n, count(distinct main_id) as ids
+  from canon where adid is not null and event_key is not null
+  group by event_table, event_time, adid, event_key having count(*) > 1) group by event_table
 union all
-select * from (select event_table, count(*), max(rows_same_second), max(unique_event_keys), 'burst'
-  from burst_groups group by event_table order by max(rows_same_second) desc, event_table limit 5)"""
-_caps = "case section when 'critical_delivery' then 100 when 'low_delivery' then 100 when 'expected' then 12 when 'investigate' then 20 else 25 end"
+select event_table, count(*), max(n), max(keys), 'burst'
+from (select event_table, count(*) as n, count(distinct event_key) as keys
+  from canon where adid is not null and event_key is not null and event_table <> 'event_click'
+  group by event_table, event_time, adid having count(distinct event_key) > 3) group by event_table"""
 _places = (
     "case section when 'critical_delivery' then 1 when 'low_delivery' then 2 when 'system_parameters' then 3"
     " when 'value_parameters' then 4 when 'confirmed' then 5 when 'expected' then 6 else 7 end"
@@ -1158,8 +1169,7 @@ FINAL["findings_report"] = f"""
 select section, event_table, parameter, step, issue, metric, round(value, 6) as value, rows, severity, rank,
   cast({_places} as bigint) as section_order
 from (select *, row_number() over (partition by section order by source_rank, order_key, event_table nulls first,
-        parameter nulls first, step nulls first, issue) as rank from all_findings)
-where rank <= {_caps}"""
+        parameter nulls first, step nulls first, issue) as rank from all_findings)"""
 FINAL["run_summary"] = """
 select 'tables_checked' as counter, count(*) as value from scan
 union all select 'problem_tables', count(*) from scan where problems <> '' or schema_warnings <> ''

@@ -67,7 +67,7 @@ def run(
     windows = windows_of(settings, reference)
     events = without_blacklisted(canonical_events(sources, settings, windows), settings)
     times = without_blacklisted(event_times(sources, windows), settings)
-    profiles = without_blacklisted(table_profiles(sources, settings), settings)
+    profiles = kept(without_blacklisted(table_profiles(sources, settings, windows), settings))
 
     metrics = kept(E.event_metrics(events, times, profiles, windows, settings))
     event_status = status.event_status(metrics, settings)
@@ -87,16 +87,13 @@ def run(
         i: parameters.source_rules(s, settings, of_contract, special)
         for i, s in enumerate(sources)
     }
-    named = [s.name for s in sources if s.name is not None]
-    all_rules = [rule for held in rules.values() for rule in held]
     counted = parameters.parameter_metrics(sources, rules, windows, settings)
     parameter_status = kept(
         without_blacklisted(
             parameters.parameter_status(
                 counted,
-                parameters.rules_frame(spark, all_rules),
+                parameters.rules_frame(spark, rules),
                 profiles,
-                sorted({*special, *named}),
                 settings,
             ),
             settings,
@@ -111,7 +108,7 @@ def run(
     out["parameter_values"] = observed
     if contract is None:
         out["inferred_contract"] = contracts.inferred_contract(
-            without_blacklisted(table_columns(sources), settings), observed, settings
+            without_blacklisted(table_columns(sources, windows), settings), observed, settings
         )
     out["parameter_problem_groups"] = findings.problem_groups(parameter_status)
     out["unpopulated_columns"] = findings.unpopulated_groups(parameter_status)
@@ -146,6 +143,7 @@ def run(
         presence = flow.raw_presence(source, settings, pairs)
         origins = kept(flow.parameter_origin(pairs, presence, summary, settings))
         out["event_flow"] = flows
+        out["parameter_pairs"] = pairs
         out["parameter_origin"] = origins
         out["flow_summary"] = flow.flow_summary(flows, summary, rejected, origins)
         if document is not None:
@@ -157,12 +155,18 @@ def run(
             )
 
     candidates = kept(drilldown.candidates(metrics, settings))
-    duplicates = drilldown.duplicate_samples(events, candidates)
-    bursts = drilldown.burst_samples(events, settings.burst_threshold, candidates)
+    tables = kept(drilldown.chosen_tables(metrics, event_status, settings))
+    duplicates = drilldown.duplicate_samples(events, tables)
+    bursts = drilldown.burst_samples(events, settings.burst_threshold, tables)
     missing_ids = kept(
         drilldown.missing_ids_by_step(events, settings.drilldown["missing_id_tables"])
     )
     out["drilldown_candidates"] = candidates
+    out["sample_summary"] = drilldown.sample_summary(events, settings.burst_threshold, settings)
+    out["drilldown_tables"] = tables
+    out["skipped_tables"] = status.skipped_tables(profiles)
+    out["base_counts"] = E.base_counts(events)
+    out["day_counts"] = E.day_counts(events, windows)
     out["duplicate_samples"] = duplicates
     out["burst_samples"] = bursts
     out["missing_ids_by_step"] = missing_ids
@@ -173,6 +177,7 @@ def run(
     out["findings"] = findings.findings_report(
         event_status, parameter_status, scan, missing_ids, settings, flows, origins
     )
+    out["short_report"] = findings.short_report(out["findings"])
     out["run_summary"] = findings.run_summary(scan, event_status, parameter_status)
     return out
 

@@ -138,7 +138,7 @@ def metrics(spark: SparkSession, folder: str) -> DataFrame:
     return E.event_metrics(
         canonical_events(tables, settings(), fixed()),
         event_times(tables, fixed()),
-        table_profiles(tables, settings()),
+        table_profiles(tables, settings(), fixed()),
         fixed(),
         settings(),
     )
@@ -160,12 +160,11 @@ def _parameter_parts(spark: SparkSession, folder: str) -> tuple[list, dict, list
 
 
 def _parameter_status(spark: SparkSession, folder: str) -> DataFrame:
-    tables, rules, special, config = _parameter_parts(spark, folder)
+    tables, rules, _, config = _parameter_parts(spark, folder)
     return parameters.parameter_status(
         parameters.parameter_metrics(tables, rules, fixed(), config),
-        parameters.rules_frame(spark, [r for held in rules.values() for r in held]),
-        table_profiles(tables, config),
-        special,
+        parameters.rules_frame(spark, rules),
+        table_profiles(tables, config, fixed()),
         config,
     )
 
@@ -517,7 +516,7 @@ def q_classified_findings(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_parameter_metrics(spark: SparkSession, folder: str) -> DataFrame:
     tables, rules, _, config = _parameter_parts(spark, folder)
-    return parameters.parameter_metrics(tables, rules, fixed(), config)
+    return parameters.parameter_metrics(tables, rules, fixed(), config).drop("source")
 
 
 def q_parameter_top_values(spark: SparkSession, folder: str) -> DataFrame:
@@ -595,7 +594,7 @@ def q_flow_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_contract_types(spark: SparkSession, folder: str) -> DataFrame:
-    return contracts.common_types(table_columns(sources(spark, folder)), settings())
+    return contracts.common_types(table_columns(sources(spark, folder), fixed()), settings())
 
 
 def q_parameter_scopes(spark: SparkSession, folder: str) -> DataFrame:
@@ -604,14 +603,14 @@ def q_parameter_scopes(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_inferred_contract(spark: SparkSession, folder: str) -> DataFrame:
     found = contracts.inferred_contract(
-        table_columns(sources(spark, folder)), _observed(spark, folder), settings()
+        table_columns(sources(spark, folder), fixed()), _observed(spark, folder), settings()
     )
     return plain(found, "scope", "event_table", "parameter", "type", "examples", "priority")
 
 
 def q_contract_violations(spark: SparkSession, folder: str) -> DataFrame:
     return contracts.contract_violations(
-        _contract(spark), table_columns(sources(spark, folder)), settings()
+        _contract(spark), table_columns(sources(spark, folder), fixed()), settings()
     )
 
 
@@ -663,16 +662,8 @@ def q_future_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_sample_summary(spark: SparkSession, folder: str) -> DataFrame:
-    rows = events(spark, folder)
-    duplicates = drilldown.sample_summary(
-        drilldown.duplicate_samples(rows), "duplicate",
-        "rows_same_event_key_adid_time", "unique_main_identifiers",
-    )
-    bursts = drilldown.sample_summary(
-        drilldown.burst_samples(rows, settings().burst_threshold), "burst",
-        "rows_same_second", "unique_event_keys",
-    )
-    return duplicates.unionByName(bursts)
+    config = settings()
+    return drilldown.sample_summary(events(spark, folder), config.burst_threshold, config)
 
 
 def q_findings_report(spark: SparkSession, folder: str) -> DataFrame:

@@ -63,9 +63,13 @@ def event_source(spark: SparkSession, folder: str, time_column: str = "event_dat
     )
 
 
+#: The event of a payload; that of errors has no parsed table, and their table no source.
+NAMED = "case event_type when 'error' then 'other_' else 'event_' end || event_type"
+
+
 def payload_view(spark: SparkSession, folder: str) -> DataFrame:
     body = (
-        "'{\"type\":\"app.ns.event_' || event_type || '\",\"params\":{\"k\":'"
+        f"'{{\"type\":\"app.ns.' || {NAMED} || '\",\"params\":{{\"k\":'"
         f" || {_text('event_id % 50')} || ',\"session_uuid\":'"
         f" || case when event_id % 9 = 0 then 'null' else '\"s' || {_text('event_id % 400')}"
         " || '\"' end || ',\"region\":\"US\",\"price\":'"
@@ -73,13 +77,12 @@ def payload_view(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         table(spark, folder, "events")
-        .filter("event_type <> 'error'")
         .selectExpr(
             "event_id as row_id",
             "ts as event_time",
             "case when event_id % 101 = 0 then 'not json'"
             " when event_id % 103 = 0 then"
-            " '{\"type\":\"app.ns.event_' || event_type || '\",\"params\":null}'"
+            f" '{{\"type\":\"app.ns.' || {NAMED} || '\",\"params\":null}}'"
             " when event_id % 107 = 0 then '{\"params\":{\"k\":1}}'"
             f" else {body} end as payload",
             "case when event_id % 3 = 0 then '' else 'live' end as mode",
@@ -96,7 +99,6 @@ def dead_letter_view(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         table(spark, folder, "events")
-        .filter("event_id % 50 = 0")
         .selectExpr(
             "event_id as row_id",
             "ts as event_time",

@@ -161,6 +161,16 @@ def glob_to_regex(pattern: str) -> str:
     return "^" + fnmatch.translate(pattern.casefold()).replace("\\Z", "") + "\\z"
 
 
+def _limit(value: Any) -> int | None:
+    """A number a configuration sets to leave work out; none is set by default."""
+    if value in (None, "", 0):
+        return None
+    if int(value) < 0:
+        raise ValueError(f"a limit must be positive, got {value!r}")
+    return int(value)
+
+
+
 class Settings:
     """Read access to one merged configuration."""
 
@@ -352,13 +362,11 @@ class Settings:
         return found or list(PRIORITY_EVENT_TABLES)
 
     @property
-    def max_event_tables(self) -> int:
+    def max_event_tables(self) -> int | None:
+        """How many event tables a run measures; all of them unless a number is set."""
         collection = self._section("collection").get("max_event_tables")
         scan = self._section("db_problem_scan").get("scan_max_event_tables")
-        value = int(collection or scan or 200)
-        if value <= 0:
-            raise ValueError("the number of event tables must be positive")
-        return value
+        return _limit(collection or scan)
 
     # -- parameters ---------------------------------------------------------
     @property
@@ -439,7 +447,7 @@ class Settings:
             "excluded": tables(
                 "source_comparison_excluded_tables", "source_comparison_excluded_table", ""
             ),
-            "max_parameter_checks": max(1, int(held.get("max_parameter_checks", 100))),
+            "max_parameter_checks": _limit(held.get("max_parameter_checks")),
         }
 
     # -- drill-down ---------------------------------------------------------
@@ -449,7 +457,7 @@ class Settings:
         allowed = sorted(self.missing_main_allowed | self.missing_session_allowed)
         return {
             "tables": as_list(held.get("tables") or self.config.get("drilldown_tables")),
-            "max_tables": int(held.get("max_tables") or 20),
+            "max_tables": _limit(held.get("max_tables")),
             "missing_id_tables": as_list(held.get("missing_id_tables"))
             or allowed
             or ["event_first_open"],

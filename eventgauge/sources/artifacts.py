@@ -61,13 +61,23 @@ def read_artifact(
     reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
     if schema is not None:
         reader = reader.schema(f"{schema}, run_id string")
-    frame = reader.format(fmt).load(f"{root.rstrip('/')}/{artifact}")
+    folder = f"{root.rstrip('/')}/{artifact}"
+    # The folders of the runs are listed; files of other runs are not read.
+    chosen = latest_run(spark, folder) if run_id is None else run_id
+    frame = reader.option("basePath", folder).format(fmt).load(f"{folder}/run_id={chosen}")
     # A run id of digits only is read from its folder name as a number.
-    frame = frame.withColumn("run_id", F.col("run_id").cast("string"))
-    if run_id is not None:
-        return frame.filter(F.col("run_id") == run_id)
-    latest = frame.agg(F.max("run_id").alias("run_id"))
-    return frame.join(F.broadcast(latest), "run_id", "left_semi")
+    return frame.withColumn("run_id", F.lit(chosen))
+
+
+def latest_run(spark: SparkSession, folder: str) -> str:
+    """The largest run id among the partition folders of an artifact."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [f.getPath().getName() for f in files if f.isDirectory()]
+    runs = [name.removeprefix("run_id=") for name in names if name.startswith("run_id=")]
+    if not runs:
+        raise FileNotFoundError(f"no run under {folder}")
+    return max(runs)
 
 
 def create_once(frame: DataFrame, path: str, fmt: str = "json") -> None:

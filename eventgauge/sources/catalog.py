@@ -46,7 +46,7 @@ def table_inventory(
     spark: SparkSession,
     entries: Sequence[TableEntry],
     settings: Settings,
-    limit: int = 200,
+    limit: int | None = None,
     mandatory: Iterable[str] = (),
     time_candidates: Sequence[str] = TIME_COLUMN_CANDIDATES,
 ) -> DataFrame:
@@ -90,11 +90,8 @@ def table_inventory(
     rows = spark.createDataFrame(facts, schema).join(counts, "table_name", "left")
     rows = rows.withColumn("estimated_rows", F.coalesce("estimated_rows", F.lit(0).cast("long")))
     order = [F.col("is_mandatory").desc(), F.col("estimated_rows").desc(), "table_name"]
-    return (
-        rows.withColumn("is_mandatory", first)
-        .orderBy(*order)
-        .limit(limit + len(list(mandatory)))
-    )
+    ordered = rows.withColumn("is_mandatory", first).orderBy(*order)
+    return ordered if limit is None else ordered.limit(limit + len(list(mandatory)))
 
 
 @dataclass(frozen=True)
@@ -120,7 +117,7 @@ def select_event_tables(
     rest = sorted(set(sizes) - set(first), key=lambda name: (-sizes[name], name))
     ordered = [*dict.fromkeys(first), *rest]
     cut = settings.max_event_tables if limit is None else limit
-    return Selection(ordered[:cut], "discovered", ordered[cut:])
+    return Selection(ordered[:cut], "discovered", [] if cut is None else ordered[cut:])
 
 
 def event_sources(

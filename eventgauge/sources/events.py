@@ -45,7 +45,8 @@ class EventSource:
     carries event table names.  ``prune_column`` may name a second column that the
     files are laid out by and that never lies outside a window bound on which the
     measurement column is inside (a partition timestamp, or the exact time next to
-    a truncated one): the same bounds are then also put on it.
+    a truncated one): the same bounds are then also put on it.  ``tables`` may list the
+    event tables a name column holds, which saves reading them.
     """
 
     frame: DataFrame
@@ -53,6 +54,7 @@ class EventSource:
     name_column: str | None = None
     time_column: str | None = None
     prune_column: str | None = None
+    tables: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if (self.name is None) == (self.name_column is None):
@@ -144,16 +146,19 @@ def event_times(
     )
 
 
-def table_profiles(sources: Sequence[EventSource], settings: Settings) -> DataFrame:
+def table_profiles(
+    sources: Sequence[EventSource], settings: Settings, windows: Windows | None = None
+) -> DataFrame:
     """One row per event table: time column and which identifiers it can have."""
     parts = []
-    for source in sources:
+    for index, source in enumerate(sources):
         present = {
             name: V.first_present(settings.aliases(logical), source.columns)[1]
             for name, logical in IDENTIFIERS.items()
         }
         parts.append(
-            _event_tables(source).select(
+            _event_tables(source, windows).select(
+                F.lit(index).alias("source"),
                 "event_table",
                 F.lit(source.measured_by).cast("string").alias("measurement_time_column"),
                 *[F.lit(bool(cols)).alias(f"has_{name}") for name, cols in present.items()],
@@ -165,7 +170,7 @@ def table_profiles(sources: Sequence[EventSource], settings: Settings) -> DataFr
     return united(parts)
 
 
-def table_columns(sources: Sequence[EventSource]) -> DataFrame:
+def table_columns(sources: Sequence[EventSource], windows: Windows | None = None) -> DataFrame:
     """``event_table, column_name, type`` for every column of every event table."""
     parts = []
     for source in sources:
@@ -179,20 +184,26 @@ def table_columns(sources: Sequence[EventSource]) -> DataFrame:
                 for f in held
             ]
         )
-        parts.append(_event_tables(source).select("event_table", F.inline(listed)))
+        parts.append(_event_tables(source, windows).select("event_table", F.inline(listed)))
     return united(parts)
 
 
-def _event_tables(source: EventSource) -> DataFrame:
+def _event_tables(source: EventSource, windows: Windows | None = None) -> DataFrame:
     """The event tables of a source.
 
-    Names held in a column are read with a distinct over that one column, which
-    combines on the map side.
+    A list of names given with the source is taken as it is.  Otherwise names held in a
+    column are read with a distinct over that one column, which combines on the map
+    side; with windows only rows since the lookback began are read.
     """
+    session = source.frame.sparkSession
+    if source.tables:
+        return session.createDataFrame([(name,) for name in source.tables], "event_table string")
     named = source.event_table.alias("event_table")
     if source.name_column is None:
-        return source.frame.sparkSession.range(1).select(named)
-    return source.frame.select(named).distinct()
+        return session.range(1).select(named)
+    bounded = windows is not None and source.measured_by is not None
+    rows = source.within(windows, "since_lookback") if bounded else source.frame
+    return rows.select(named).distinct()
 
 
 def united(parts: Sequence[DataFrame]) -> DataFrame:

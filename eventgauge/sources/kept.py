@@ -1,12 +1,9 @@
-"""Small results that are computed once, and joins against sides of a checked size."""
+"""Small results that are computed once."""
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-MAX_BROADCAST_ROWS = 100_000
 
 
 def kept(frame: DataFrame) -> DataFrame:
@@ -16,17 +13,7 @@ def kept(frame: DataFrame) -> DataFrame:
     shared folder the session names: losing an executor must not repeat those scans.
     Without a checkpoint folder it is cached.
     """
-    if frame.sparkSession.conf.get("spark.checkpoint.dir", None):
+    context = frame.sparkSession.sparkContext._jsc.sc()
+    if frame.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir().isDefined():
         return frame.checkpoint()
     return frame.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def small_side(frame: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A join side, broadcast when a count shows it is small.
-
-    Give it a kept frame: the count then reads the stored rows.  A larger side is
-    returned as it is and joined by a shuffle, which adaptive execution splits where
-    it is skewed.
-    """
-    rows = frame.limit(max_rows + 1).count()
-    return F.broadcast(frame) if rows <= max_rows else frame

@@ -111,4 +111,4 @@ def test_table_selection():
 
 def test_flow_tables():
     flow = Settings({"source_flow": {"dlq_table": "d", "source_comparison_excluded_tables": "p"}}).flow
-    assert (flow["dlq_tables"], flow["excluded"], flow["max_parameter_checks"]) == (["d"], ["p"], 100)
+    assert (flow["dlq_tables"], flow["excluded"], flow["max_parameter_checks"]) == (["d"], ["p"], None)
