@@ -40,6 +40,9 @@ BATCH_BYTES = 6 << 20
 #: Steps of the multiplicative weights; each adds at most one configuration.
 ROUNDS = 600
 
+#: A price above a piece's share of a sequence for long pieces, which are the hardest to place.
+LONG = 1.15
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -174,7 +177,7 @@ def dearest(prices: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacit
 def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
     """Configurations and how often to use each, covering at most what there is.
 
-    Multiplicative weights on the covering constraints: the price of a length starts at its
+    Multiplicative weights on the covering constraints: the price of a length starts near its
     share of a sequence and falls by a factor for every portion of its pieces that is served.
     Each step uses the dearest configuration as long as it serves a fixed share of the pieces.
     """
@@ -187,7 +190,7 @@ def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: i
         if not open_.any():
             break
         places = np.flatnonzero(open_)
-        chosen = dearest((share * weight)[places], lengths[places], np.floor(left[places]), capacity)
+        chosen = dearest((share**LONG * weight)[places], lengths[places], np.floor(left[places]), capacity)
         if not chosen:
             break
         config = {int(places[k]): v for k, v in chosen.items() if v}

@@ -403,9 +403,12 @@ def test_toxicity_on_held_out_rows(spark, awkward, nothing):
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.fitted(documents, labels)
     held = toxicity.scored(documents, model).join(labels, "doc_id").filter("held_out").toPandas()
-    right = held["predicted"] == held["toxic"]
-    assert right.mean() > 0.96
-    assert held.loc[held["toxic"] == 0, "predicted"].mean() < 0.03
+    # Some 300 toxic texts to learn from: few false alarms, and scores that order the classes.
+    toxic, clean = held.loc[held["toxic"] == 1], held.loc[held["toxic"] == 0]
+    assert clean["predicted"].mean() < 0.02
+    assert (held["predicted"] == held["toxic"]).mean() > 0.92
+    above = (toxic["score"].to_numpy()[:, None] > clean["score"].to_numpy()).mean()
+    assert above > 0.75
     found = toxicity.scored(awkward, model).collect()
     assert len(found) == len(AWKWARD) and all(0 <= r.score <= 1 for r in found)
     assert toxicity.scored(nothing, model).count() == 0
