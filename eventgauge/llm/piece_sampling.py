@@ -32,6 +32,8 @@ from eventgauge.llm.shared import LAST, mixed, steps, texts
 
 SAMPLES = 2
 BATCH_BYTES = 6 << 20
+#: Steps so far below the best can never have the largest perturbed value.
+SPREAD = 41.0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,20 +109,33 @@ class Search:
         """A new sample; its steps from `since` on become regions."""
         number = len(self.samples)
         prefix = np.concatenate([[0.0], np.cumsum(chances)])
-        with np.errstate(divide="ignore"):
-            other = np.log(-np.expm1(np.minimum(chances, 0.0)))
-        other[chances > -1e-12] = -np.inf
-        location = prefix[:-1] + other
-        u = uniforms(np.full(len(edges), self.seed), np.arange(len(edges)) + ((number + 1) << 44))
-        held = _truncated(location, u, value)
-        held[:since] = -np.inf
-        held[~np.isfinite(location)] = -np.inf
+        # A uniform number of 52 bits moves a location by -3.6 to 36.7, so a step whose location
+        # (at most its prefix) is 41 below another's cannot win: its regions are never opened.
+        end, most = since, -np.inf
+        while end < len(edges) and not np.isfinite(most):
+            end = min(len(edges), max(end + 128, 4 * (end - since) + since))
+            most = self._locations(chances, prefix, since, end).max()
+        if np.isfinite(most):
+            end = max(since, int(np.searchsorted(-prefix[:-1], SPREAD - most, side="right")))
+        location = self._locations(chances, prefix, since, end)
+        u = uniforms(np.full(len(location), self.seed), np.arange(since, end) + ((number + 1) << 44))
+        held = np.full(end, -np.inf)
+        held[since:] = _truncated(location, u, value)
+        held[since:][~np.isfinite(location)] = -np.inf
         self.samples.append(edges)
         self.value.append(value)
         self.log_chance.append(float(prefix[-1]))
         self.open.append(held)
         self.prefix.append(prefix)
 
+    @staticmethod
+    def _locations(chances: np.ndarray, prefix: np.ndarray, since: int, end: int) -> np.ndarray:
+        """Log-chances of "as the sample up to the step, there a different piece"."""
+        own = chances[since:end]
+        with np.errstate(divide="ignore"):
+            other = np.log(-np.expm1(np.minimum(own, 0.0)))
+        return prefix[since:end] + np.where(own > -1e-12, -np.inf, other)
+
     def best(self) -> tuple[float, int, int]:
         """The largest value of a region, its sample and its step."""
         out = (-np.inf, -1, -1)
@@ -232,8 +247,7 @@ def _ids(edges: np.ndarray, spelled: bool, lattice: Lattice, given: Vocabulary)
 
 def decode(ids: np.ndarray, given: Vocabulary) -> str:
     """The text of piece ids: marks are blanks, and the first one is dropped."""
-    data = b"".join(map(given.decoded.__getitem__, ids.tolist()))
-    return data.decode()[1:]
+    return b"".join(map(given.decoded.__getitem__, ids.tolist()))[1:].decode()
 
 
 SCHEMA = (
