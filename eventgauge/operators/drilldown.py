@@ -138,17 +138,16 @@ def duplicate_samples(
     )
 
 
-def burst_samples(
+def burst_groups(
     events: DataFrame,
     threshold: int,
     tables: DataFrame | None = None,
     limit: int = SAMPLES_PER_TABLE,
 ) -> DataFrame:
-    """The largest (time, adid) groups with too many keys per table, with labels."""
+    """The largest (time, adid) groups with too many keys per table."""
     keys = list(E.SECOND)
-    inside = _of_tables(events, tables)
     seconds = (
-        E.event_groups(inside)
+        E.event_groups(_of_tables(events, tables))
         .groupBy(*keys)
         .agg(
             F.sum("group_rows").alias("rows_same_second"),
@@ -157,25 +156,45 @@ def burst_samples(
         .filter(F.col("unique_event_keys") > threshold)
     )
     size = F.col("rows_same_second")
-    chosen = kept(_top(seconds, ["event_table"], [size.desc(), "event_time", "adid"], limit))
-    keyed = inside.filter(F.col("event_key").isNotNull())
-    counted = _label_counts(
-        keyed, chosen, keys, _labels("platform", "region", "server_region", "step", "type")
-    )
+    return kept(_top(seconds, ["event_table"], [size.desc(), "event_time", "adid"], limit))
 
-    def every(name: str) -> Column:
-        return F.sort_array(F.collect_set(F.when(F.col("label") == name, F.col("value"))))
 
+def burst_samples(
+    events: DataFrame,
+    threshold: int,
+    tables: DataFrame | None = None,
+    limit: int = SAMPLES_PER_TABLE,
+    groups: DataFrame | None = None,
+) -> DataFrame:
+    """The chosen burst groups with their most frequent labels.
+
+    ``groups`` are those of ``burst_groups`` where they are at hand.  The steps and types
+    of a group can be as many as its rows: they are rows of their own, ``burst_labels``.
+    """
+    chosen = burst_groups(events, threshold, tables, limit) if groups is None else groups
+    keyed = events.filter(F.col("event_key").isNotNull())
+    named = ("platform", "region", "server_region")
+    counted = _label_counts(keyed, chosen, list(E.SECOND), _labels(*named))
     return counted.groupBy(*chosen.columns).agg(
-        *[
-            _majority(name).alias(f"most_common_{name}")
-            for name in ("platform", "region", "server_region")
-        ],
-        every("step").alias("steps"),
-        every("type").alias("types"),
+        *[_majority(name).alias(f"most_common_{name}") for name in named]
     )
 
 
+def burst_labels(
+    events: DataFrame,
+    threshold: int,
+    tables: DataFrame | None = None,
+    limit: int = SAMPLES_PER_TABLE,
+    groups: DataFrame | None = None,
+) -> DataFrame:
+    """Every step and type of the chosen burst groups with its rows."""
+    chosen = burst_groups(events, threshold, tables, limit) if groups is None else groups
+    keyed = events.filter(F.col("event_key").isNotNull())
+    short = chosen.select(*E.SECOND, "rank")
+    counted = _label_counts(keyed, short, list(E.SECOND), _labels("step", "type"))
+    return counted.filter(F.col("value").isNotNull())
+
+
 def missing_ids_by_step(
     events: DataFrame, tables: Sequence[str] | None = None, limit: int = STEP_ROWS_PER_TABLE
 ) -> DataFrame:

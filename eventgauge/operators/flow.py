@@ -133,6 +133,12 @@ def payload_parameters(payloads: DataFrame, extra: Sequence[str] = ()) -> DataFr
     return held.filter(F.col("parameter") != "")
 
 
+def events_with_parameters(payloads: DataFrame) -> DataFrame:
+    """Events of which at least one row has a named parameter; keys stay inside the row."""
+    names = F.array_remove(F.map_keys(P.params_map(F.col("body"))), "")
+    return payloads.filter(F.size(names) > 0).select("event_table").distinct()
+
+
 def _restricted(payloads: DataFrame, events: DataFrame | None) -> DataFrame:
     """Only rows of the given events (a kept frame), before they are taken apart."""
     if events is None:

@@ -1115,6 +1115,16 @@ select event_table, round(worst / greatest(rows_in_range, 1)::double, 6) as scor
   select *, greatest(coalesce(duplicate_rows, 0), coalesce(future_event_time_rows, 0),
     case when event_table = 'event_click' then 0 else coalesce(same_second_burst_rows, 0) end) as worst from metrics)
 where worst > 0"""
+FINAL["flagged_tables"] = """
+select event_table, status from status_frame where status not in ('ok', 'no_rows_in_range')"""
+FINAL["drilldown_tables"] = """
+select event_table from metrics
+where greatest(coalesce(duplicate_rows, 0), coalesce(future_event_time_rows, 0),
+  case when event_table = 'event_click' then 0 else coalesce(same_second_burst_rows, 0) end) > 0
+union
+select event_table from status_frame where status not in ('ok', 'no_rows_in_range')"""
+FINAL["configured_drilldown_tables"] = """
+select event_table from metrics where event_table in ('event_view', 'event_order', 'event_absent')"""
 _dup_joins = " ".join(
     f"left join {_mode(n, _DUP_KEYS, f'm_{n}')} using ({_DUP_KEYS})"
     for n in ("platform", "region", "server_region", "step", "type")
@@ -1131,20 +1141,30 @@ _burst_joins = " ".join(
 )
 FINAL["burst_samples"] = f"""
 select event_table, {FORMAT.format('event_time')} as event_time, adid, rows_same_second, unique_event_keys, rank,
-  most_common_platform, most_common_region, most_common_server_region, steps, types
-from burst_groups {_burst_joins}
-left join (select {_SEC_KEYS}, string_agg(distinct step_label, ',' order by step_label) as steps,
-             string_agg(distinct type_label, ',' order by type_label) as types
-           from canon where adid is not null and event_key is not null group by {_SEC_KEYS}) using ({_SEC_KEYS})"""
+  most_common_platform, most_common_region, most_common_server_region
+from burst_groups {_burst_joins}"""
+FINAL["burst_labels"] = f"""
+select event_table, {FORMAT.format('event_time')} as event_time, adid, rank, label, value, count(*) as n
+from (
+  select {_SEC_KEYS}, 'step' as label, step_label as value from canon where adid is not null and event_key is not null
+  union all
+  select {_SEC_KEYS}, 'type', type_label from canon where adid is not null and event_key is not null)
+join burst_groups using ({_SEC_KEYS})
+where value is not null group by all"""
 FINAL["shipment_burst_samples"] = f"""
 select 'event_shipment' as event_table, {FORMAT.format('event_time')} as event_time, cast(adid as varchar) as adid,
   rows_same_second, unique_event_keys, rank, 'NO_COLUMN' as most_common_platform, 'NO_COLUMN' as most_common_region,
-  'NO_COLUMN' as most_common_server_region, steps, types
-from ship_bursts join (
-  select l_shipdate as event_time, l_suppkey as adid,
-    string_agg(distinct l_returnflag, ',' order by l_returnflag) as steps,
-    string_agg(distinct l_linestatus, ',' order by l_linestatus) as types
-  from lineitem group by 1, 2) using (event_time, adid)"""
+  'NO_COLUMN' as most_common_server_region
+from ship_bursts"""
+FINAL["shipment_burst_labels"] = f"""
+select 'event_shipment' as event_table, {FORMAT.format('event_time')} as event_time, cast(adid as varchar) as adid,
+  rank, label, value, count(*) as n
+from (
+  select l_shipdate as event_time, l_suppkey as adid, 'step' as label, l_returnflag as value from lineitem
+  union all
+  select l_shipdate, l_suppkey, 'type', l_linestatus from lineitem)
+join ship_bursts using (event_time, adid)
+where value is not null group by all"""
 FINAL["missing_ids_by_step"] = "select * from missing_ids"
 FINAL["missing_id_expectation"] = _expectation("missing_ids")
 FINAL["future_samples"] = f"""

@@ -100,8 +100,12 @@ def run(
         )
     )
     limit = settings.parameter_defaults["top_values_limit"]
-    observed = parameters.top_value_lists(
-        parameters.top_values(parameters.value_histogram(sources, rules, windows, settings), limit)
+    observed = kept(
+        parameters.top_value_lists(
+            parameters.top_values(
+                parameters.value_histogram(sources, rules, windows, settings), limit
+            )
+        )
     )
     out["parameter_quality"] = parameter_status
     observed = parameters.observed_parameters(parameter_status, observed)
@@ -157,7 +161,7 @@ def run(
     candidates = kept(drilldown.candidates(metrics, settings))
     tables = kept(drilldown.chosen_tables(metrics, event_status, settings))
     duplicates = drilldown.duplicate_samples(events, tables)
-    bursts = drilldown.burst_samples(events, settings.burst_threshold, tables)
+    seconds = drilldown.burst_groups(events, settings.burst_threshold, tables)
     missing_ids = kept(
         drilldown.missing_ids_by_step(events, settings.drilldown["missing_id_tables"])
     )
@@ -168,7 +172,9 @@ def run(
     out["base_counts"] = E.base_counts(events)
     out["day_counts"] = E.day_counts(events, windows)
     out["duplicate_samples"] = duplicates
-    out["burst_samples"] = bursts
+    for name in ("burst_samples", "burst_labels"):
+        found = getattr(drilldown, name)
+        out[name] = found(events, settings.burst_threshold, groups=seconds)
     out["missing_ids_by_step"] = missing_ids
     if settings.future_check_enabled:
         out["future_samples"] = drilldown.future_samples(

@@ -86,6 +86,7 @@ CONTRACT: dict[str, Any] = {
     },
 }
 
+CONFIGURED_TABLES = ["event_view", "event_order", "event_absent"]
 PLACE_RULE = {"allowed_pattern": "^([a-z]+|[A-Z]{2})$"}
 REDACTED_PREVIEW = 180
 
@@ -201,10 +202,15 @@ def _contract(spark: SparkSession) -> DataFrame:
     return contracts.contract_frame(spark, CONTRACT)
 
 
-def _flows(spark: SparkSession, folder: str, measured: DataFrame | None = None) -> DataFrame:
+def _flows(
+    spark: SparkSession,
+    folder: str,
+    measured: DataFrame | None = None,
+    summary: DataFrame | None = None,
+) -> DataFrame:
     return flow.reconcile(
         metrics(spark, folder) if measured is None else measured,
-        flow.source_summary(_source(spark, folder, fixed())),
+        flow.source_summary(_source(spark, folder, fixed())) if summary is None else summary,
         flow.dlq_summary(_letters(spark, folder, fixed())),
         settings(),
     )
@@ -215,11 +221,17 @@ def _pairs(spark: SparkSession, folder: str, checked: DataFrame | None = None) -
     return flow.parameter_pairs(found, _contract(spark), settings())
 
 
-def _origins(spark: SparkSession, folder: str, checked: DataFrame | None = None) -> DataFrame:
+def _origins(
+    spark: SparkSession,
+    folder: str,
+    checked: DataFrame | None = None,
+    summary: DataFrame | None = None,
+) -> DataFrame:
     source = _source(spark, folder, fixed())
     pairs = kept(_pairs(spark, folder, checked))
     presence = flow.raw_presence(source, settings(), pairs)
-    return flow.parameter_origin(pairs, presence, flow.source_summary(source), settings())
+    totals = flow.source_summary(source) if summary is None else summary
+    return flow.parameter_origin(pairs, presence, totals, settings())
 
 
 def _additions(spark: SparkSession, folder: str) -> DataFrame:
@@ -590,7 +602,8 @@ def q_flow_summary(spark: SparkSession, folder: str) -> DataFrame:
     source = kept(flow.source_summary(_source(spark, folder, fixed())))
     letters = kept(flow.dlq_summary(_letters(spark, folder, fixed())))
     flows = kept(flow.reconcile(metrics(spark, folder), source, letters, settings()))
-    return flow.flow_summary(flows, source, letters, kept(_origins(spark, folder)))
+    origins = kept(_origins(spark, folder, summary=source))
+    return flow.flow_summary(flows, source, letters, origins)
 
 
 def q_contract_types(spark: SparkSession, folder: str) -> DataFrame:
@@ -624,7 +637,7 @@ def q_contract_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_missing_schema_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Event tables of which the raw source knows no parameters."""
-    described = flow.payload_parameters(_source(spark, folder)).select("event_table")
+    described = flow.events_with_parameters(_source(spark, folder))
     return contracts.missing_schema_tables(views.event_view(spark, folder), described)
 
 
@@ -633,6 +646,27 @@ def q_drilldown_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("event_table", F.round("score", 6).alias("score"))
 
 
+def q_drilldown_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The tables a run drills into: scored and flagged ones, as none is configured."""
+    measured = kept(metrics(spark, folder))
+    return drilldown.chosen_tables(
+        measured, status.event_status(measured, settings()), settings()
+    )
+
+
+def q_configured_drilldown_tables(spark: SparkSession, folder: str) -> DataFrame:
+    config = Settings(
+        {**CONFIG, "drilldown": {**CONFIG["drilldown"], "tables": CONFIGURED_TABLES}}
+    )
+    measured = metrics(spark, folder)
+    return drilldown.chosen_tables(measured, status.event_status(measured, config), config)
+
+
+def q_flagged_tables(spark: SparkSession, folder: str) -> DataFrame:
+    flagged = status.event_status(metrics(spark, folder), settings())
+    return drilldown.flagged_tables(flagged, settings())
+
+
 def q_duplicate_samples(spark: SparkSession, folder: str) -> DataFrame:
     return plain(drilldown.duplicate_samples(events(spark, folder)))
 
@@ -646,6 +680,15 @@ def q_shipment_burst_samples(spark: SparkSession, folder: str) -> DataFrame:
     return plain(drilldown.burst_samples(rows, settings().burst_threshold))
 
 
+def q_burst_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return plain(drilldown.burst_labels(events(spark, folder), settings().burst_threshold))
+
+
+def q_shipment_burst_labels(spark: SparkSession, folder: str) -> DataFrame:
+    rows = canonical_events([shipment_source(spark, folder)], settings(), shipment_windows())
+    return plain(drilldown.burst_labels(rows, settings().burst_threshold))
+
+
 def q_missing_ids_by_step(spark: SparkSession, folder: str) -> DataFrame:
     return plain(_missing_ids(spark, folder))
 
@@ -669,14 +712,15 @@ def q_sample_summary(spark: SparkSession, folder: str) -> DataFrame:
 def q_findings_report(spark: SparkSession, folder: str) -> DataFrame:
     measured = kept(metrics(spark, folder))
     checked = kept(_parameter_status(spark, folder))
+    summary = kept(flow.source_summary(_source(spark, folder, fixed())))
     report = findings.findings_report(
         status.event_status(measured, settings()),
         checked,
         _scan(measured),
         kept(_missing_ids(spark, folder)),
         settings(),
-        kept(_flows(spark, folder, measured)),
-        kept(_origins(spark, folder, checked)),
+        kept(_flows(spark, folder, measured, summary)),
+        kept(_origins(spark, folder, checked, summary)),
     )
     return plain(report.withColumn("value", F.round("value", 6)))
 

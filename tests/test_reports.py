@@ -56,7 +56,12 @@ def test_burst_samples(spark):
     data = [("a", DAY, "x", "u", "s", str(k), "web", str(k % 2)) for k in range(5)]
     data += [("a", DAY, "x", "u", None, None, "ios", "9"), ("a", DAY, "q", "u", "s", "1", "web", "1")]
     row = drilldown.burst_samples(events(spark, data), 3).first()
-    assert (row.rows_same_second, row.unique_event_keys, row.steps, row.types) == (5, 5, ["0", "1"], ["NO_COLUMN"])
+    assert (row.rows_same_second, row.unique_event_keys, row.most_common_platform) == (5, 5, "web")
+    # Every step and type is a row with its count; rows without a key do not belong to the group.
+    labels = drilldown.burst_labels(events(spark, data), 3)
+    assert rows(labels, "label", "value", "n") == [
+        ("step", "0", 3), ("step", "1", 2), ("type", "NO_COLUMN", 5),
+    ]
 
 
 def test_missing_ids_and_expectation(spark):
