@@ -1031,6 +1031,20 @@ FINAL["parameter_status"] = """
 select event_table, parameter, status, problem, source_columns, rows_checked, missing_rows, invalid_rows,
   lookback_rows_checked, lookback_missing_rows, missing_pct, invalid_pct, lookback_presence_pct,
   expected_present_rows, presence_delta_pct, inferred_required, report_priority from parameter_frame"""
+_now = f"created_at >= timestamp '{START}' and created_at < timestamp '{STOP}'"
+FINAL["parameters_of_several_sources"] = f"""
+select event_table, parameter, count(*) filter (where {_now}) as rows_checked,
+  count(*) filter (where {_now} and value is null) as missing_rows,
+  count(*) filter (where not ({_now})) as lookback_rows_checked
+from (
+  select event_table, created_at, 'client_version' as parameter, client_version as value from fx_events
+  union all
+  select event_table, created_at, case when event_table in ('event_click', 'event_view') then 'alpha' else 'beta' end,
+    case when event_table in ('event_click', 'event_view') then region else step end from fx_events
+  union all
+  select 'event_joined', created_at, 'gamma', region from fx_events where event_table = 'event_signup')
+where created_at >= timestamp '{BACK}' and created_at < timestamp '{STOP}'
+group by event_table, parameter"""
 FINAL["prioritized_parameter_problems"] = """
 select event_table, parameter, problem, cast(priority_rank as bigint) as priority_rank,
   cast(contract_rank as bigint) as contract_rank, cast(schema_rank as bigint) as schema_rank, missing_pct from urgent"""

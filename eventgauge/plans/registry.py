@@ -547,6 +547,37 @@ def q_parameter_status(spark: SparkSession, folder: str) -> DataFrame:
     return _parameter_status(spark, folder).select(*STATUS_COLUMNS)
 
 
+def q_parameters_of_several_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Two long tables and a configured one of its own, each with other columns.
+
+    Rules stay in the source that holds a table: one row per table and parameter of it.
+    """
+    seen, joined = views.event_view(spark, folder), F.col("event_table") == "event_signup"
+    few = F.col("event_table").isin("event_click", "event_view")
+    common = ("event_table", "created_at", "client_version")
+    tables = [
+        EventSource(seen.filter(few).select(*common, F.col("region").alias("alpha")), name_column="event_table"),
+        EventSource(seen.filter(~few).select(*common, F.col("step").alias("beta")), name_column="event_table"),
+        EventSource(seen.filter(joined).select("created_at", F.col("region").alias("gamma")), name="event_joined"),
+    ]
+    config = Settings(
+        {"parameter_quality": {"tables": {"event_joined": {"parameters": {"gamma": {"min_value": 1}}}}}}
+    )
+    rules = {
+        i: parameters.source_rules(source, config, None, special_tables(config, None))
+        for i, source in enumerate(tables)
+    }
+    found = parameters.parameter_status(
+        parameters.parameter_metrics(tables, rules, fixed(), config),
+        parameters.rules_frame(spark, rules),
+        table_profiles(tables, config, fixed()),
+        config,
+    )
+    return found.select(
+        "event_table", "parameter", "rows_checked", "missing_rows", "lookback_rows_checked"
+    )
+
+
 def q_prioritized_parameter_problems(spark: SparkSession, folder: str) -> DataFrame:
     return plain(
         findings.prioritized(_parameter_status(spark, folder)),
