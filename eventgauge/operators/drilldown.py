@@ -195,10 +195,8 @@ def burst_labels(
     return counted.filter(F.col("value").isNotNull())
 
 
-def missing_ids_by_step(
-    events: DataFrame, tables: Sequence[str] | None = None, limit: int = STEP_ROWS_PER_TABLE
-) -> DataFrame:
-    """Rows without a main or session identifier per step and type of a table."""
+def missing_id_counts(events: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+    """Rows without a main or session identifier per step and type of a table: all of them."""
     if tables is not None:
         events = events.filter(V.any_table("event_table", tables))
     counted = events.groupBy(
@@ -212,8 +210,7 @@ def missing_ids_by_step(
         (F.col("missing_main_identifier_rows") > 0) | (F.col("missing_session_id_rows") > 0)
     )
     rows = F.col("rows_in_range")
-    top = _top(lacking, ["event_table"], [rows.desc(), "step", "type"], limit)
-    return top.withColumns(
+    return lacking.withColumns(
         {
             "missing_main_identifier_pct": V.pct(F.col("missing_main_identifier_rows"), rows),
             "missing_session_id_pct": V.pct(F.col("missing_session_id_rows"), rows),
@@ -221,6 +218,22 @@ def missing_ids_by_step(
     )
 
 
+def missing_ids_by_step(
+    events: DataFrame,
+    tables: Sequence[str] | None = None,
+    limit: int = STEP_ROWS_PER_TABLE,
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """The largest of the rows of ``missing_id_counts`` per table, a sample to look at.
+
+    ``counts`` are those of ``missing_id_counts`` where they are at hand.
+    """
+    lacking = missing_id_counts(events, tables) if counts is None else counts
+    top = _top(lacking, ["event_table"], [F.col("rows_in_range").desc(), "step", "type"], limit)
+    shares = ["missing_main_identifier_pct", "missing_session_id_pct"]
+    return top.select(*[c for c in top.columns if c not in shares], *shares)
+
+
 def future_samples(
     times: DataFrame, windows: Windows, tolerance_minutes: int, limit: int = SAMPLES_PER_TABLE
 ) -> DataFrame:

@@ -163,7 +163,7 @@ def run(
     duplicates = drilldown.duplicate_samples(events, tables)
     seconds = drilldown.burst_groups(events, settings.burst_threshold, tables)
     missing_ids = kept(
-        drilldown.missing_ids_by_step(events, settings.drilldown["missing_id_tables"])
+        drilldown.missing_id_counts(events, settings.drilldown["missing_id_tables"])
     )
     out["drilldown_candidates"] = candidates
     out["sample_summary"] = drilldown.sample_summary(events, settings.burst_threshold, settings)
@@ -175,7 +175,7 @@ def run(
     for name in ("burst_samples", "burst_labels"):
         found = getattr(drilldown, name)
         out[name] = found(events, settings.burst_threshold, groups=seconds)
-    out["missing_ids_by_step"] = missing_ids
+    out["missing_ids_by_step"] = drilldown.missing_ids_by_step(events, counts=missing_ids)
     if settings.future_check_enabled:
         out["future_samples"] = drilldown.future_samples(
             times, windows, settings.future_tolerance_minutes

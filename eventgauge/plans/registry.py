@@ -243,7 +243,7 @@ def _additions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _missing_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return drilldown.missing_ids_by_step(
+    return drilldown.missing_id_counts(
         events(spark, folder), settings().drilldown["missing_id_tables"]
     )
 
@@ -721,7 +721,8 @@ def q_shipment_burst_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_missing_ids_by_step(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(_missing_ids(spark, folder))
+    counts = _missing_ids(spark, folder)
+    return plain(drilldown.missing_ids_by_step(events(spark, folder), counts=counts))
 
 
 def q_missing_id_expectation(spark: SparkSession, folder: str) -> DataFrame:

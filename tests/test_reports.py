@@ -78,6 +78,19 @@ def test_missing_ids_and_expectation(spark):
     ]
 
 
+def test_findings_hold_every_step_that_lacks_identifiers(spark):
+    data = [("a", DAY, "x", None, "s", "k", "web", f"{i:03}") for i in range(130)]
+    source = EventSource(spark.createDataFrame(data, SCHEMA), name_column="event_table")
+    settings = Settings(
+        {"date_range": "7 days", "lookback": "14 days", "drilldown": {"missing_id_tables": ["a"]}}
+    )
+    out = quality_run.run(spark, [source], settings, reference="2024-01-08")
+    steps = out["findings"].filter("issue like '%_missing_identifier' and step is not null")
+    assert rows(steps, "step") == [(f"{i:03}",) for i in range(130)]
+    # The drill-down shows the largest ones.
+    assert out["missing_ids_by_step"].count() == 100
+
+
 def test_future_samples(spark):
     data = [("a", DAY + timedelta(days=30, hours=h), "x", "u", "s", "k", "web", "1") for h in range(5)]
     source = EventSource(spark.createDataFrame(data, SCHEMA), name_column="event_table")
