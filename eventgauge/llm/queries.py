@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventgauge.llm import chat_format, exact_dedup, jaccard_join, lattice_lm, packing, piece_sampling, quality_rules, suffix_dedup, toxicity, warc
+from eventgauge.llm import (
+    bpe_codec, chat_format, exact_dedup, jaccard_join, lattice_lm, packing, piece_sampling, prefix_trie, quality_rules, suffix_dedup,
+    token_alignment, toxicity, warc,
+)
 from eventgauge.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,10 +65,24 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.format_conversations(given.unionByName(added))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return token_alignment.aligned(documents, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+def op13_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    return bpe_codec.digests(bpe_codec.decoded(bpe_codec.encoded(table(spark, folder, "documents"), path), path))
+
+
 def all_queries() -> dict[str, Query]:
     found = {name: held for name, held in globals().items() if name.startswith("op") and callable(held)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def all_statements() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.SQL}
+    return {"op4_exact_dedup": exact_dedup.SQL, "op12_prefix_trie": prefix_trie.SQL}

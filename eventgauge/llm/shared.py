@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 STEP_BYTES = 2 << 20
 #: The white space that separates words everywhere here.
 SPACE = r"[\x20\x09-\x0D]"
+SPACE_BYTES = np.zeros(256, bool)
+SPACE_BYTES[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -85,6 +87,17 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def ragged(values: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen pieces of an array one after another, and the n + 1 places where they begin.
+
+    Piece k lies from starts[k] to starts[k + 1].
+    """
+    sizes = np.diff(starts)[chosen]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    shift = np.repeat(starts[chosen] - ends[:-1], sizes)
+    return values[np.arange(ends[-1]) + shift], ends
+
+
 def mixed(keys: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix of unsigned integers (the finalizer of MurmurHash3)."""
     keys = keys ^ (keys >> np.uint64(33))
