@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from eventgauge.llm.shared import SPACE_BYTES, flat_bytes, ragged, steps, texts
 
 #: Bytes of text encoded at once.
-STEP = 4 << 20
+STEP = 2 << 20
 #: Fragments of more bytes are merged by a heap.
 LONG = 512
 NEVER = np.iinfo(np.int32).max
@@ -304,6 +304,20 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(work, "doc_id long, ids array<int>, text string")
 
 
+def coded(documents: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """`decoded` of `encoded`, by one worker a task: doc_id, ids and the text that the ids spell."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = codec(path)
+        for piece in steps(batches, limit=STEP):
+            ids, offsets = held.encode(piece.column("text"))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            text = held.decode(ids, offsets).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), lists, text], ["doc_id", "ids", "text"])
+
+    return texts(documents, id_column, text_column).mapInArrow(work, "doc_id long, ids array<int>, text string")
+
+
 def digests(rows: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of encoded and decoded rows."""
     return rows.select(

@@ -75,8 +75,7 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(BYTE_BPE)
-    return bpe_codec.digests(bpe_codec.decoded(bpe_codec.encoded(table(spark, folder, "documents"), path), path))
+    return bpe_codec.digests(bpe_codec.coded(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE)))
 
 
 def all_queries() -> dict[str, Query]:
