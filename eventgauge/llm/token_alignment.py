@@ -39,7 +39,9 @@ from eventgauge.llm.bpe_codec import ForcedBoundaryCodec, codec, string_array
 from eventgauge.llm.shared import flat_bytes, ragged, steps, stored, texts
 
 #: Bytes of text aligned at once.
-STEP = 6 << 20
+STEP = 2 << 20
+#: Tokens written out at once.
+WRITTEN = 1 << 17
 #: Every so many ends one is searched from the start of its list, the others from its place.
 STRIDE = 16
 BLANK = 0x20
@@ -219,7 +221,11 @@ class Aligner:
         written = np.zeros(len(a) + len(b), np.int64)
         written[np.arange(len(a)) + np.concatenate([[0], b_stop])[a_group]] = 2 * a.astype(np.int64) + a_common
         written[np.arange(len(b)) + a_stop[b_group]] = 2 * (self.a.size + b.astype(np.int64)) + b_common
-        groups, ends = ragged(self.marked, self.marked_at, written)
+        ends = np.concatenate([[0], np.cumsum(np.diff(self.marked_at)[written])])
+        groups = np.empty(ends[-1], np.uint8)
+        for k in range(0, len(written), WRITTEN):
+            part, _ = ragged(self.marked, self.marked_at, written[k : k + WRITTEN])
+            groups[ends[k] : ends[k] + len(part)] = part
         counted = np.concatenate([[0], np.cumsum(a_common)])
         return Aligned(
             n_a, n_b, counted[a_at[1:]] - counted[a_at[:-1]], np.bincount(owner, minlength=len(n_a)),
