@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from eventgauge.functions import values as V
 from eventgauge.functions.windows import Windows, between
+from eventgauge.operators.ranks import ranked
 from eventgauge.settings import Settings
 
 CHECKS = {
@@ -172,30 +173,25 @@ def anomaly_counts(events: DataFrame, threshold: int) -> DataFrame:
 
 
 def burst_annotation(events: DataFrame) -> DataFrame:
-    """Every (time, adid, key) group with the totals of its second.
+    """Every (time, adid, key) group with the totals of its second and its number in it.
 
-    The per-second totals are aggregated and joined back instead of computed in a
-    window, because a window would gather all groups of one busy second in one task.
-    The identifier of the totals is rebuilt, so that this side is exchanged for the
-    join as well: adaptive execution splits a skewed partition only between two
-    exchanges of the join's own.
+    One busy second can hold most groups, so numbers and totals come from sorted parts of
+    seconds (``ranks``), not from a window or a join on the second.
     """
-    groups = event_groups(events)
-    seconds = (
-        groups.groupBy(*SECOND)
-        .agg(
-            F.sum("group_rows").alias("rows_in_second"),
-            F.count(F.lit(1)).alias("unique_event_keys"),
-            F.min("event_key").alias("first_event_key"),
-        )
-        .withColumn("adid", F.concat("adid", F.lit("")))
+    numbered = ranked(
+        event_groups(events),
+        SECOND,
+        ["event_key"],
+        "row_number",
+        {"rows_in_second": F.col("group_rows"), "unique_event_keys": F.lit(1)},
     )
-    return groups.join(seconds, list(SECOND)).select(
+    return numbered.select(
         *GROUP,
         "group_rows",
         "rows_in_second",
         "unique_event_keys",
-        (F.col("event_key") == F.col("first_event_key")).alias("is_first_key"),
+        "row_number",
+        (F.col("row_number") == 1).alias("is_first_key"),
     )
 
 
@@ -271,6 +267,18 @@ def with_rates(metrics: DataFrame, rows: str = "rows_in_range") -> DataFrame:
     )
 
 
+def one_profile(profiles: DataFrame) -> DataFrame:
+    """One row per event table: what several sources of one table can have is put together."""
+    listed = ("measurement_time_column", "session_id_columns", "main_identifier_columns")
+    flags = [c for c in profiles.columns if c.startswith("has_")]
+    names = [F.array_join(F.array_sort(F.collect_set(F.nullif(c, F.lit("")))), ",").alias(c) for c in listed]
+    grouped = profiles.groupBy("event_table", "main_identifier").agg(
+        *[F.bool_or(c).alias(c) for c in flags], *names
+    )
+    time = F.nullif("measurement_time_column", F.lit(""))
+    return grouped.withColumn("measurement_time_column", time)
+
+
 def event_metrics(
     events: DataFrame,
     times: DataFrame,
@@ -288,7 +296,7 @@ def event_metrics(
     missing = missing_identifiers(events, settings)
     anomalies = anomaly_counts(events, settings.burst_threshold)
     history = history_counts(times, windows, settings)
-    joined = profiles.drop("source")
+    joined = one_profile(profiles)
     for part in (missing, anomalies, history):
         joined = joined.join(part, "event_table", "left")
 

@@ -1,7 +1,7 @@
-"""The findings of a run, ordered and cut into the sections of a report.
+"""The findings of a run, ordered inside the sections of a report.
 
-Inputs are metric frames: one row per table, parameter or sample.  Caps on sections
-are part of the report; the frames they are taken from are kept whole.
+Inputs are metric frames: one row per table, parameter or sample.  All findings are kept;
+``short_report`` takes the first ones of each section.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from eventgauge.functions import values as V
 from eventgauge.operators.flow import DIAGNOSES, counters, priority_rank
+from eventgauge.operators.ranks import ranked
 from eventgauge.operators.status import HIGH, LOW, NO_ROWS
 from eventgauge.settings import Settings
 from eventgauge.sources.events import united
@@ -319,15 +320,13 @@ def findings_report(
 
 
 def sectioned(findings: DataFrame) -> DataFrame:
-    """Number findings inside their section."""
-    order = W.partitionBy("section").orderBy(
-        "source_rank", "order_key", "event_table", "parameter", "step", "issue"
-    )
-    ranked = findings.withColumn("rank", F.row_number().over(order))
+    """Number findings inside their section; a section can be as long as the data has steps."""
+    order = ["source_rank", "order_key", "event_table", "parameter", "step", "issue"]
+    numbered = ranked(findings, ["section"], order)
     places = F.create_map(
         *[F.lit(p) for i, (name, _) in enumerate(SECTIONS, start=1) for p in (name, i)]
     )
-    return ranked.withColumn("section_order", places[F.col("section")]).drop(
+    return numbered.withColumn("section_order", places[F.col("section")]).drop(
         "source_rank", "order_key"
     )
 

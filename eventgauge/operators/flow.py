@@ -48,30 +48,129 @@ DIAGNOSES = {
 # ---------------------------------------------------------------------------
 # Payload summaries
 # ---------------------------------------------------------------------------
+FACT_KEYS = ("event_table", "raw_type", "mode", "parameter", "kind", "filled", "value")
+
+
+def payload_facts(
+    payloads: DataFrame, settings: Settings, examples: Column | None = None
+) -> DataFrame:
+    """All that is counted about payloads, from one parse of each.
+
+    A payload gives one row for each key of its ``params`` object and one without a key if it
+    has none; the first row of a payload also stands for the payload itself.  They are counted
+    by ``FACT_KEYS`` with a map-side combine, so what is shuffled has the size of a schema.
+    ``value`` is null except for events that ``examples`` (a condition on ``event_table``)
+    names: only their distinct values are kept.
+    """
+    body = F.col("body")
+    session = F.lit(False)
+    for alias in settings.aliases("session_id"):
+        value = P.at(body, "params", alias)
+        session = session | (value.isNotNull() & P.is_filled(value))
+    wanted = F.lit(False) if examples is None else examples
+    rows = payloads.select(
+        "event_table", "raw_type", "mode",
+        (~F.col("valid")).alias("invalid"),
+        (F.col("valid") & P.lacks_params(body)).alias("lacking"),
+        F.when(F.col("valid"), session).otherwise(False).alias("in_session"),
+        F.posexplode_outer(P.params_map(body)).alias("place", "parameter", "held"),
+    )
+    filled = F.col("held").isNotNull() & P.is_filled(F.col("held"))
+    described = rows.select(
+        "event_table", "raw_type", "mode", "invalid", "lacking", "in_session", "parameter",
+        (F.coalesce("place", F.lit(0)) == 0).alias("first"),
+        F.schema_of_variant("held").alias("schema"),
+        filled.alias("filled"),
+        F.when(wanted, P.raw_text(F.col("held"))).alias("value"),
+    ).withColumn("kind", P.value_kind(F.col("schema"), F.col("filled")))
+    first = F.col("first")
+    return described.groupBy(*FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("n_keys"),
+        F.count_if(first).alias("n_rows"),
+        F.count_if(first & F.col("invalid")).alias("n_invalid"),
+        F.count_if(first & F.col("lacking")).alias("n_lacking"),
+        F.count_if(first & F.col("in_session")).alias("n_session"),
+    )
+
+
+def summary_of(facts: DataFrame) -> DataFrame:
+    """Rows, invalid rows and rows without parameters per event name, from ``payload_facts``."""
+    modes = facts.groupBy("event_table", "mode").agg(
+        F.min("raw_type").alias("raw_type"),
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_invalid", "n_lacking")],
+    )
+    return modes.groupBy("event_table").agg(
+        F.min("raw_type").alias("source_type"),
+        F.count_if(F.col("mode") != "").alias("n_modes"),
+        F.sum("n_rows").alias("raw_rows"),
+        F.sum("n_invalid").alias("invalid_json_rows"),
+        F.sum("n_lacking").alias("missing_params_object_rows"),
+    )
+
+
+def modes_of(facts: DataFrame) -> DataFrame:
+    """Every mode of every event with its payload rows; rows, as a list has no bound."""
+    counted = facts.groupBy("event_table", "mode").agg(F.sum("n_rows").alias("raw_rows"))
+    return counted.filter("mode <> ''")
+
+
+def types_of(facts: DataFrame) -> DataFrame:
+    """The type of each payload parameter, from all its values."""
+    kinds = ("bool", "int", "float", "other")
+    counted = facts.filter("parameter <> ''").groupBy("event_table", "parameter").agg(
+        F.sum("n_keys").alias("raw_rows"),
+        V.sum_or_zero(F.when(F.col("kind").isNotNull(), F.col("n_keys"))).alias("typed_rows"),
+        *[F.bool_or(F.coalesce(F.col("kind") == k, F.lit(False))).alias(f"{k}_seen") for k in kinds],
+    )
+    seen = {k: F.col(f"{k}_seen") for k in kinds}
+    return counted.select(
+        "event_table", "parameter", P.merged_type(seen).alias("type"), "raw_rows", "typed_rows"
+    )
+
+
+def presence_of(facts: DataFrame, settings: Settings) -> DataFrame:
+    """Payload rows with a filled value of each parameter; session aliases count once a row."""
+    session = settings.aliases("session_id")
+    keys = facts.filter((F.col("parameter") != "") & F.col("filled"))
+    keys = keys.filter(~F.col("parameter").isin(session))
+    own = keys.select("event_table", "parameter", F.col("n_keys").alias("n"))
+    pooled = facts.filter("n_session > 0").select(
+        "event_table", F.lit("session_id").alias("parameter"), F.col("n_session").alias("n")
+    )
+    grouped = own.unionByName(pooled).groupBy("event_table", "parameter")
+    return grouped.agg(F.sum("n").alias("raw_present_rows"))
+
+
+def profile_of(facts: DataFrame) -> DataFrame:
+    """Up to five distinct raw values per event and parameter, of events whose values are kept."""
+    values = facts.filter("parameter <> '' and value is not null")
+    return _first_values(values.select("event_table", "parameter", "value").distinct())
+
+
+def contract_of(facts: DataFrame) -> DataFrame:
+    """Type and examples of each parameter of the events whose values are kept."""
+    return _with_examples(types_of(facts.filter("value is not null")), profile_of(facts))
+
+
 def source_summary(payloads: DataFrame) -> DataFrame:
     """Rows, invalid rows and rows without parameters per event name.
 
     Rows are first counted per (event, written type, mode), which needs only hash
-    aggregation; the text minimum and the set of modes are taken over those counts.
+    aggregation; the text minimum is taken over those counts.
     """
     lacking = F.col("valid") & P.lacks_params(F.col("body"))
-    counted = payloads.groupBy("event_table", "raw_type", "mode").agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(~F.col("valid")).alias("invalid_json_rows"),
-        F.count_if(lacking).alias("missing_params_object_rows"),
-    )
-    return counted.groupBy("event_table").agg(
-        F.min("raw_type").alias("source_type"),
-        _modes(),
-        F.sum("raw_rows").alias("raw_rows"),
-        F.sum("invalid_json_rows").alias("invalid_json_rows"),
-        F.sum("missing_params_object_rows").alias("missing_params_object_rows"),
+    return summary_of(
+        payloads.groupBy("event_table", "raw_type", "mode").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(~F.col("valid")).alias("n_invalid"),
+            F.count_if(lacking).alias("n_lacking"),
+        )
     )
 
 
-def _modes() -> Column:
-    filled = F.when(F.col("mode") != "", F.col("mode"))
-    return F.sort_array(F.collect_set(filled)).alias("modes")
+def source_modes(payloads: DataFrame) -> DataFrame:
+    counted = payloads.groupBy("event_table", "mode").agg(F.count(F.lit(1)).alias("n_rows"))
+    return modes_of(counted)
 
 
 def dead_letter_rows(letters: DataFrame) -> DataFrame:
@@ -95,32 +194,73 @@ def dead_letter_rows(letters: DataFrame) -> DataFrame:
     )
 
 
+LETTER_KEYS = ("event_table", "dlq_source_table", "dlq_shape")
+
+
+def letter_facts(letters: DataFrame) -> DataFrame:
+    """All that is counted about dead letters, from one parse of each.
+
+    A letter gives one row for each distinct validation error and one without an error if it
+    has none; its first row also stands for the letter.
+    """
+    rows = dead_letter_rows(letters).select(
+        *LETTER_KEYS, "mode", "source_event_name", "has_event_parameters", "rejected_at",
+        F.size("validation_errors").alias("n_errors"),
+        F.posexplode_outer(F.array_distinct("validation_errors")).alias("place", "validation_error"),
+    )
+    first = F.coalesce("place", F.lit(0)) == 0
+    return rows.groupBy(*LETTER_KEYS, "mode", "validation_error").agg(
+        F.count(F.lit(1)).alias("n_letters"),
+        F.count_if(first).alias("n_rows"),
+        F.count_if(first & F.col("has_event_parameters")).alias("n_parameters"),
+        V.sum_or_zero(F.when(first, F.col("n_errors"))).alias("n_errors"),
+        F.min("source_event_name").alias("source_event_name"),
+        F.min("rejected_at").alias("rejected_at_min"),
+        F.max("rejected_at").alias("rejected_at_max"),
+    )
+
+
+def dlq_summary_of(facts: DataFrame) -> DataFrame:
+    """Rejected rows per event, dead-letter table and payload shape, from ``letter_facts``."""
+    empty = F.lit("")
+    modes = facts.groupBy(*LETTER_KEYS, "mode").agg(
+        *[F.min(c).alias(c) for c in ("source_event_name", "rejected_at_min")],
+        F.max("rejected_at_max").alias("rejected_at_max"),
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_parameters", "n_errors")],
+    )
+    return modes.groupBy(*LETTER_KEYS).agg(
+        F.coalesce(F.min("source_event_name"), empty).alias("source_event_name"),
+        F.count_if(F.col("mode") != "").alias("n_modes"),
+        F.sum("n_rows").alias("dlq_rows"),
+        F.sum("n_parameters").alias("event_parameters_rows"),
+        F.sum("n_errors").cast("long").alias("validation_error_rows"),
+        F.coalesce(F.min("rejected_at_min"), empty).alias("rejected_at_min"),
+        F.coalesce(F.max("rejected_at_max"), empty).alias("rejected_at_max"),
+    )
+
+
+def dlq_errors_of(facts: DataFrame) -> DataFrame:
+    """Every distinct validation error per event and shape, with its rows."""
+    errors = facts.filter("validation_error is not null")
+    return errors.groupBy(*LETTER_KEYS, "validation_error").agg(F.sum("n_letters").alias("dlq_rows"))
+
+
 def dlq_summary(letters: DataFrame) -> DataFrame:
     """Rejected rows per event, dead-letter table and payload shape.
 
     Their error texts are a frame of their own, ``dlq_errors``: the list can be as
     long as the table, so it is rows rather than one cell.
     """
-    empty = F.lit("")
-    return dead_letter_rows(letters).groupBy("event_table", "dlq_source_table", "dlq_shape").agg(
-        F.coalesce(F.min("source_event_name"), empty).alias("source_event_name"),
-        _modes(),
-        F.count(F.lit(1)).alias("dlq_rows"),
-        F.count_if("has_event_parameters").alias("event_parameters_rows"),
-        F.sum(F.size("validation_errors")).cast("long").alias("validation_error_rows"),
-        F.coalesce(F.min("rejected_at"), empty).alias("rejected_at_min"),
-        F.coalesce(F.max("rejected_at"), empty).alias("rejected_at_max"),
-    )
+    return dlq_summary_of(letter_facts(letters))
 
 
 def dlq_errors(letters: DataFrame) -> DataFrame:
     """Every distinct validation error per event and shape, with its rows."""
-    keys = ["event_table", "dlq_source_table", "dlq_shape"]
     errors = F.array_distinct("validation_errors")
     return (
         dead_letter_rows(letters)
-        .select(*keys, F.explode(errors).alias("validation_error"))
-        .groupBy(*keys, "validation_error")
+        .select(*LETTER_KEYS, F.explode(errors).alias("validation_error"))
+        .groupBy(*LETTER_KEYS, "validation_error")
         .agg(F.count(F.lit(1)).alias("dlq_rows"))
     )
 
@@ -134,9 +274,12 @@ def payload_parameters(payloads: DataFrame, extra: Sequence[str] = ()) -> DataFr
 
 
 def events_with_parameters(payloads: DataFrame) -> DataFrame:
-    """Events of which at least one row has a named parameter; keys stay inside the row."""
-    names = F.array_remove(F.map_keys(P.params_map(F.col("body"))), "")
-    return payloads.filter(F.size(names) > 0).select("event_table").distinct()
+    """Events of which at least one row has a named parameter.
+
+    Keys are generated, not tested in a filter: a filter would be pushed below the parsing
+    and repeat it.  They never leave the map task.
+    """
+    return payload_parameters(payloads).select("event_table").distinct()
 
 
 def _restricted(payloads: DataFrame, events: DataFrame | None) -> DataFrame:
@@ -186,6 +329,10 @@ def raw_profile(payloads: DataFrame, events: DataFrame | None = None) -> DataFra
         .select("event_table", "parameter", P.raw_text(F.col("value")).alias("value"))
         .distinct()
     )
+    return _first_values(values)
+
+
+def _first_values(values: DataFrame) -> DataFrame:
     keys = ["event_table", "parameter"]
     order = W.partitionBy(*keys).orderBy("value")
     ranked = values.withColumn("rank", F.row_number().over(order))
@@ -199,14 +346,17 @@ def raw_profile(payloads: DataFrame, events: DataFrame | None = None) -> DataFra
 
 def raw_parameter_contract(payloads: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Type and examples of each payload parameter, as contract entries need them."""
-    types = raw_types(payloads, events)
+    return _with_examples(raw_types(payloads, events), raw_profile(payloads, events))
+
+
+def _with_examples(types: DataFrame, profile: DataFrame) -> DataFrame:
     shown = F.transform(
         F.filter(F.col("raw_examples"), lambda v: ~v.isin(P.EMPTY_RAW_VALUES)),
         lambda v: F.coalesce(
             F.try_variant_get(F.try_parse_json(v), "$", "string"), v
         ),
     )
-    examples = raw_profile(payloads, events).withColumn("examples", shown)
+    examples = profile.withColumn("examples", shown)
     return types.join(examples, ["event_table", "parameter"]).select(
         "event_table", "parameter", "type", "examples", "raw_examples"
     )

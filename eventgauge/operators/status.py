@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -246,3 +248,20 @@ def skipped_tables(profiles: DataFrame) -> DataFrame:
         F.lit(None).cast("long").alias("rows"),
         F.lit("normal").alias("severity"),
     )
+
+
+def coverage(profiles: DataFrame, not_scanned: Sequence[str] = ()) -> DataFrame:
+    """``event_table, state`` of every table that was to be measured, and whether all were.
+
+    ``coverage_complete`` stands on every row, so one row answers it.
+    """
+    measured = F.col("measurement_time_column").isNotNull()
+    own = profiles.groupBy("event_table").agg(F.bool_or(measured).alias("measured"))
+    states = own.select(
+        "event_table",
+        F.when(F.col("measured"), "scanned").otherwise("no_time_column").alias("state"),
+    )
+    session = profiles.sparkSession
+    left_out = session.createDataFrame([(t, "not_scanned") for t in not_scanned], states.schema)
+    rows = states.join(left_out, "event_table", "left_anti").unionByName(left_out)
+    return rows.withColumn("coverage_complete", F.lit(not not_scanned))

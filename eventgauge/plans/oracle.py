@@ -443,7 +443,7 @@ select * from dlq_all where event_time >= timestamp '{START}' and event_time < t
 def _summary(source: str) -> str:
     return f"""
 select event_table, min(raw_type) as source_type,
-  coalesce(string_agg(distinct nullif(mode, ''), ',' order by nullif(mode, '')), '') as modes,
+  count(distinct nullif(mode, '')) as n_modes,
   count(*) as raw_rows, count(*) filter (where not valid) as invalid_json_rows,
   count(*) filter (where valid and coalesce(json_type(j, '$.params'), 'NULL') = 'NULL')
     as missing_params_object_rows
@@ -453,7 +453,7 @@ from {source} group by event_table"""
 def _letters(source: str) -> str:
     return f"""
 select event_table, 'source_events_dlq' as dlq_source_table, dlq_shape,
-  coalesce(min(source_event_name), '') as source_event_name, '' as modes, count(*) as dlq_rows,
+  coalesce(min(source_event_name), '') as source_event_name, 0::bigint as n_modes, count(*) as dlq_rows,
   count(*) filter (where has_event_parameters) as event_parameters_rows,
   cast(sum(len(validation_errors)) as bigint) as validation_error_rows,
   coalesce(min(rejected_at), '') as rejected_at_min, coalesce(max(rejected_at), '') as rejected_at_max
@@ -1002,7 +1002,7 @@ select 'event_shipment' as event_table,
   (select cast(coalesce(sum(n_rows), 0) as bigint) from ship_seconds where n_keys > 3) as same_second_burst_rows"""
 FINAL["burst_group_annotation"] = f"""
 select event_table, {FORMAT.format('event_time')} as event_time, adid, event_key, group_rows, rows_in_second,
-  unique_event_keys, key_rank = 1 as is_first_key from annotated"""
+  unique_event_keys, key_rank as row_number, key_rank = 1 as is_first_key from annotated"""
 FINAL["volume_vs_lookback"] = """
 select event_table, rows_in_range, lookback_rows, round(lookback_rows / 2.0::double, 6) as expected_rows_from_lookback,
   case when lookback_rows > 0 then
@@ -1018,6 +1018,25 @@ select event_table, status, rows_in_range, missing_adid_rows, missing_main_ident
   case when has_main then 'user_id' else '' end as main_identifier_columns,
   case when event_table = 'event_order' then 'created_at' else 'event_date' end as measurement_time_column
 from status_frame"""
+BLOCKS["stop_names"] = f"""
+select event_table, cast(min(event_date) as date) as first_day, cast(max(event_date) as date) as last_day,
+  count(*) filter (where event_date >= timestamp '{START}' and event_date < timestamp '{STOP}') as rows_in_range
+from fx_events
+where (event_table <> 'event_signup' or created_at < timestamp '2024-01-08')
+  and (event_date >= timestamp '{BACK}' or (created_at < timestamp '2024-01-10' and event_date >= timestamp '2024-01-01'))
+group by event_table"""
+BLOCKS["stop_flows"] = f"""
+select *, {_FLOW_FLAGS} as flags from (
+  select n.*, true as target_table_exists, rows_in_range as parsed_rows, coalesce(s.raw_rows, 0) as raw_rows,
+    coalesce(d.dlq_rows, 0) as dlq_rows
+  from stop_names n left join summary s using (event_table)
+  left join (select event_table, cast(sum(dlq_rows) as bigint) as dlq_rows from letters group by event_table) d
+    using (event_table))"""
+FINAL["stopped_event_types"] = f"""
+select event_table, strftime(first_day, '%Y-%m-%d') as first_day, strftime(last_day, '%Y-%m-%d') as last_day,
+  rows_in_range, rows_in_range = 0 as no_rows, last_day < cast(timestamp '{BACK}' as date) as stopped,
+  coalesce(nullif(flags, ''), 'ok') as flow_status
+from stop_flows"""
 FINAL["problem_signal"] = """
 select event_table, problem_signal_rows,
   round(problem_signal_rows / nullif(rows_in_range, 0)::double, 6) as problem_signal_pct from signal"""
@@ -1027,6 +1046,7 @@ select event_table, case when problems = '' and schema_warnings = '' then 'ok' e
 FINAL["classified_findings"] = "\nunion all\n".join(_CLASSES)
 FINAL["parameter_metrics"] = "select * from parameter_counts"
 FINAL["parameter_top_values"] = "select event_table, parameter, value, period, value_rows, rank from ranked_values"
+FINAL["sketched_top_counts"] = "select event_table, parameter, period, rank, value_rows from ranked_values"
 FINAL["parameter_status"] = """
 select event_table, parameter, status, problem, source_columns, rows_checked, missing_rows, invalid_rows,
   lookback_rows_checked, lookback_missing_rows, missing_pct, invalid_pct, lookback_presence_pct,
@@ -1057,6 +1077,13 @@ select event_table, count(*) as columns_unpopulated,
 from (select *, row_number() over (partition by event_table order by parameter) as n from parameter_frame
       where list_contains(string_split(problem, ','), 'unpopulated_column')) group by event_table"""
 FINAL["source_event_summary"] = _summary("src_all")
+FINAL["source_modes"] = """
+select event_table, mode, count(*) as raw_rows from src_all where mode <> '' group by event_table, mode"""
+FINAL["payload_facts"] = """
+select t.event_table, t.parameter, t.type, t.raw_rows, t.typed_rows, p.raw_present_rows, x.examples, x.raw_examples
+from types t left join presence p using (event_table, parameter)
+left join (select * from profile where event_table not in
+  ('event_click', 'event_view', 'event_ghost', 'event_raw_only')) x using (event_table, parameter)"""
 FINAL["dlq_summary"] = _letters("dlq_all")
 FINAL["dlq_validation_errors"] = """
 select event_table, 'source_events_dlq' as dlq_source_table, dlq_shape, validation_error, count(*) as dlq_rows

@@ -19,6 +19,12 @@ from eventgauge.operators import events as E
 from eventgauge.settings import Settings
 from eventgauge.sources import payloads as payload_tables
 from eventgauge.sources.artifacts import write_run
+from eventgauge.sources.catalog import (
+    catalog_entries,
+    select_event_tables,
+    shared_sources,
+    table_inventory,
+)
 from eventgauge.sources.events import (
     EventSource,
     canonical_events,
@@ -28,6 +34,8 @@ from eventgauge.sources.events import (
     without_blacklisted,
 )
 from eventgauge.sources.kept import kept
+from eventgauge.sources.names import merged_names, seen_names, stopped_names
+from eventgauge.sources.versions import Conflict, VersionedTable
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
@@ -61,13 +69,22 @@ def run(
     raw: DataFrame | None = None,
     dead_letters: Mapping[str, DataFrame] | None = None,
     contract: Mapping[str, Any] | None = None,
+    known: DataFrame | None = None,
+    not_scanned: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """All result frames of a run by name."""
+    """All result frames of a run by name.
+
+    ``known`` has the names of earlier runs (``sources.names``), so event types that stopped
+    before the lookback are judged too; ``event_names`` is what the next run should be given.
+    ``not_scanned`` names tables that a limit left out: coverage is then incomplete.
+    """
     prepare_session(spark)
     windows = windows_of(settings, reference)
+    seen = kept(seen_names(sources, windows))
+    names = seen if known is None else kept(merged_names(known, seen))
     events = without_blacklisted(canonical_events(sources, settings, windows), settings)
     times = without_blacklisted(event_times(sources, windows), settings)
-    profiles = kept(without_blacklisted(table_profiles(sources, settings, windows), settings))
+    profiles = kept(without_blacklisted(table_profiles(sources, settings, windows, names), settings))
 
     metrics = kept(E.event_metrics(events, times, profiles, windows, settings))
     event_status = status.event_status(metrics, settings)
@@ -79,6 +96,9 @@ def run(
         "event_quality": event_status,
         "scan": scan,
         "classified": status.classified_findings(metrics, settings),
+        "event_names": names,
+        "stopped_event_tables": without_blacklisted(stopped_names(names, seen), settings),
+        "coverage": status.coverage(profiles, not_scanned),
     }
 
     of_contract = contracts.contract_rules(contract, settings) if contract else None
@@ -112,7 +132,7 @@ def run(
     out["parameter_values"] = observed
     if contract is None:
         out["inferred_contract"] = contracts.inferred_contract(
-            without_blacklisted(table_columns(sources, windows), settings), observed, settings
+            without_blacklisted(table_columns(sources, windows, names), settings), observed, settings
         )
     out["parameter_problem_groups"] = findings.problem_groups(parameter_status)
     out["unpopulated_columns"] = findings.unpopulated_groups(parameter_status)
@@ -126,14 +146,20 @@ def run(
         )
         source = without_blacklisted(source, settings)
         found, missing = payload_tables.known_tables(dead_letters or {}, wanted["dlq_tables"])
-        summary = kept(flow.source_summary(source))
+        # One parse of each payload; values are kept for events the contract does not know.
+        described = sorted((contract or {}).get("events", {}))
+        fresh = ~F.col("event_table").isin(described) if contract else None
+        facts = kept(flow.payload_facts(source, settings, fresh))
+        summary = flow.summary_of(facts)
         out["source_summary"] = summary
+        out["source_modes"] = flow.modes_of(facts)
         if found:
             letters = without_blacklisted(
                 payload_tables.parsed_dead_letters(found, windows), settings
             )
-            rejected = kept(flow.dlq_summary(letters))
-            out["dlq_errors"] = flow.dlq_errors(letters)
+            letter_facts = kept(flow.letter_facts(letters))
+            rejected = flow.dlq_summary_of(letter_facts)
+            out["dlq_errors"] = flow.dlq_errors_of(letter_facts)
         else:
             rejected = spark.createDataFrame(
                 [], "event_table string, dlq_source_table string, dlq_shape string, dlq_rows long"
@@ -144,18 +170,15 @@ def run(
         )
         flows = kept(flow.reconcile(metrics, summary, rejected, settings))
         pairs = kept(flow.parameter_pairs(parameter_status, document, settings))
-        presence = flow.raw_presence(source, settings, pairs)
+        presence = flow.presence_of(facts, settings)
         origins = kept(flow.parameter_origin(pairs, presence, summary, settings))
         out["event_flow"] = flows
         out["parameter_pairs"] = pairs
         out["parameter_origin"] = origins
         out["flow_summary"] = flow.flow_summary(flows, summary, rejected, origins)
         if document is not None:
-            known = document.filter("event_table is not null").select("event_table").distinct()
-            fresh = kept(summary.join(known, "event_table", "left_anti"))
-            profile = flow.raw_parameter_contract(source, fresh)
             out["contract_additions"] = contracts.contract_additions(
-                document, fresh, profile, settings
+                document, summary, flow.contract_of(facts), settings
             )
 
     candidates = kept(drilldown.candidates(metrics, settings))
@@ -189,7 +212,69 @@ def run(
 
 
 def run_and_write(
-    spark: SparkSession, root: str, run_id: str, fmt: str = "parquet", **arguments: Any
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    fmt: str = "parquet",
+    state: str | None = None,
+    **arguments: Any,
 ) -> dict[str, str]:
-    """Declare a run and write all of its frames under a folder."""
-    return write_run(run(spark, **arguments), root, run_id, fmt)
+    """Declare a run, write all of its frames under a folder and commit it.
+
+    ``state`` is a folder kept from run to run: it holds the names of all event types seen,
+    and the contract, if one was stored there and none is given.  New events are appended to
+    that contract; if it was edited while the run went on, ``Conflict`` is raised after the
+    run has been committed, and the edit stays.
+    """
+    if state is None:
+        return write_run(run(spark, **arguments), root, run_id, fmt)
+    names = VersionedTable(spark, f"{state}/event_names")
+    agreed = VersionedTable(spark, f"{state}/contract")
+    version = agreed.current()
+    if version and arguments.get("contract") is None:
+        arguments["contract"] = contracts.contract_document(agreed.read(version).collect())
+    else:
+        version = 0
+    out = run(spark, known=names.read(), **arguments)
+    written = write_run(out, root, run_id, fmt)
+    remember(names, out["event_names"])
+    if version and "contract_additions" in out:
+        contracts.written_back(agreed, version, out["contract_additions"])
+    return written
+
+
+def remember(store: VersionedTable, names: DataFrame) -> int:
+    """Merge names into the stored ones; two runs that end together both get theirs in."""
+    while True:
+        version = store.current()
+        try:
+            return store.write(merged_names(store.read(version), names), version)
+        except Conflict:
+            continue
+
+
+def run_catalog(
+    spark: SparkSession,
+    database: str,
+    settings: Settings,
+    limit: int | None = None,
+    mandatory: Sequence[str] = (),
+    **arguments: Any,
+) -> dict[str, DataFrame]:
+    """A run over the tables of a catalogue database, from its name alone.
+
+    Also gives the ``inventory``.  Tables that a limit leaves out are listed in ``coverage``.
+    """
+    entries = catalog_entries(spark, database, settings, mandatory)
+    inventory = kept(table_inventory(spark, entries, settings, mandatory=mandatory))
+    # One number a table, for the order in which they are taken.
+    sizes = {
+        row.table_name: row.estimated_rows
+        for row in inventory.filter("measurement_time_column is not null")
+        .select("table_name", "estimated_rows").collect()
+        if row.table_name in {entry.name for entry in entries if entry.is_stored}
+    }
+    selection = select_event_tables(sizes, settings, limit)
+    sources = shared_sources(entries, selection.chosen)
+    out = run(spark, sources, settings, not_scanned=selection.not_scanned, **arguments)
+    return {"inventory": inventory, **out}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from eventgauge.operators import events as E
 from eventgauge.plans import sample_views as views
 from eventgauge.plans.quality_run import prepare_session, special_tables
 from eventgauge.settings import AUTO_EXCLUDED_COLUMNS, Settings
+from eventgauge.sources import names
 from eventgauge.sources import payloads as payload_tables
 from eventgauge.sources.catalog import TableEntry, table_inventory
 from eventgauge.sources.events import (
@@ -202,16 +204,25 @@ def _contract(spark: SparkSession) -> DataFrame:
     return contracts.contract_frame(spark, CONTRACT)
 
 
+def _facts(spark: SparkSession, folder: str) -> DataFrame:
+    """What is counted about the payloads of the window: computed once, parsed once."""
+    known = sorted(CONTRACT["events"])
+    source = _source(spark, folder, fixed())
+    return kept(flow.payload_facts(source, settings(), ~F.col("event_table").isin(known)))
+
+
 def _flows(
     spark: SparkSession,
     folder: str,
     measured: DataFrame | None = None,
-    summary: DataFrame | None = None,
+    facts: DataFrame | None = None,
+    letters: DataFrame | None = None,
 ) -> DataFrame:
+    source = _source(spark, folder, fixed())
     return flow.reconcile(
         metrics(spark, folder) if measured is None else measured,
-        flow.source_summary(_source(spark, folder, fixed())) if summary is None else summary,
-        flow.dlq_summary(_letters(spark, folder, fixed())),
+        flow.source_summary(source) if facts is None else flow.summary_of(facts),
+        flow.dlq_summary(_letters(spark, folder, fixed())) if letters is None else letters,
         settings(),
     )
 
@@ -225,21 +236,22 @@ def _origins(
     spark: SparkSession,
     folder: str,
     checked: DataFrame | None = None,
-    summary: DataFrame | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
-    source = _source(spark, folder, fixed())
-    pairs = kept(_pairs(spark, folder, checked))
-    presence = flow.raw_presence(source, settings(), pairs)
-    totals = flow.source_summary(source) if summary is None else summary
-    return flow.parameter_origin(pairs, presence, totals, settings())
+    counted = _facts(spark, folder) if facts is None else facts
+    return flow.parameter_origin(
+        _pairs(spark, folder, checked),
+        flow.presence_of(counted, settings()),
+        flow.summary_of(counted),
+        settings(),
+    )
 
 
 def _additions(spark: SparkSession, folder: str) -> DataFrame:
-    source, contract = _source(spark, folder, fixed()), _contract(spark)
-    known = contract.filter("event_table is not null").select("event_table")
-    fresh = kept(source.select("event_table").distinct().join(known, "event_table", "left_anti"))
-    profile = flow.raw_parameter_contract(source, fresh)
-    return contracts.contract_additions(contract, fresh, profile, settings())
+    facts = _facts(spark, folder)
+    return contracts.contract_additions(
+        _contract(spark), flow.summary_of(facts), flow.contract_of(facts), settings()
+    )
 
 
 def _missing_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,11 +296,11 @@ def q_canonical_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_table_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    names = (
+    listed = (
         "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
         "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
     )
-    entries = [TableEntry(name, views.table(spark, folder, name)) for name in names]
+    entries = [TableEntry(name, views.table(spark, folder, name)) for name in listed]
     config = Settings({"database_profiles": {"p": {"main_identifier": "user_id"}},
                        "active_database_profile": "p"})
     inventory = table_inventory(
@@ -509,6 +521,43 @@ def q_event_status(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def q_stopped_event_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Event types of which an earlier run knew the name: sign-ups end before the lookback."""
+    config, whole = settings(), views.event_source(spark, folder)
+    rows = whole.frame.filter(
+        "event_table <> 'event_signup' or created_at < timestamp_ntz'2024-01-08 00:00:00'"
+    )
+    source = replace(whole, frame=rows)
+    before = replace(whole, frame=rows.filter("created_at < timestamp_ntz'2024-01-10 00:00:00'"))
+    earlier = Windows.of("2024-01-03 to 2024-01-09", "2 days", "2024-01-10 00:00:00")
+    seen = kept(names.seen_names([source], fixed()))
+    known = kept(names.merged_names(names.seen_names([before], earlier), seen))
+    measured = kept(
+        E.event_metrics(
+            canonical_events([source], config, fixed()),
+            event_times([source], fixed()),
+            table_profiles([source], config, fixed(), known),
+            fixed(),
+            config,
+        )
+    )
+    flagged = status.event_status(measured, config)
+    flows = _flows(spark, folder, measured).select(
+        "event_table", F.array_join("status", ",").alias("flow_status")
+    )
+    gone = names.stopped_names(known, seen).select("event_table", F.lit(True).alias("stopped"))
+    found = known.join(flagged, "event_table").join(flows, "event_table").join(gone, "event_table", "left")
+    return found.select(
+        "event_table",
+        F.date_format("first_day", "yyyy-MM-dd").alias("first_day"),
+        F.date_format("last_day", "yyyy-MM-dd").alias("last_day"),
+        "rows_in_range",
+        F.contains("status", F.lit(status.NO_ROWS)).alias("no_rows"),
+        F.coalesce("stopped", F.lit(False)).alias("stopped"),
+        "flow_status",
+    )
+
+
 def q_problem_signal(spark: SparkSession, folder: str) -> DataFrame:
     scored = status.problem_signal(_with_total(metrics(spark, folder)), settings())
     return scored.select("event_table", "problem_signal_rows", "problem_signal_pct")
@@ -543,6 +592,14 @@ STATUS_COLUMNS = (
 )
 
 
+def q_sketched_top_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the ten most frequent values, merged from sketches of single days."""
+    tables, rules, _, config = _parameter_parts(spark, folder)
+    days = kept(parameters.daily_value_sketches(tables, rules, fixed(), config))
+    found = parameters.merged_top_values(days, fixed(), config.parameter_defaults["top_values_limit"])
+    return found.select("event_table", "parameter", "period", "rank", "value_rows")
+
+
 def q_parameter_status(spark: SparkSession, folder: str) -> DataFrame:
     return _parameter_status(spark, folder).select(*STATUS_COLUMNS)
 
@@ -601,6 +658,22 @@ def q_source_event_summary(spark: SparkSession, folder: str) -> DataFrame:
     return plain(flow.source_summary(_source(spark, folder)))
 
 
+def q_source_modes(spark: SparkSession, folder: str) -> DataFrame:
+    return flow.source_modes(_source(spark, folder))
+
+
+def q_payload_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Types, presence and examples of one frame of facts, for the events outside the contract."""
+    known = sorted(CONTRACT["events"])
+    fresh = ~F.col("event_table").isin(known)
+    facts = kept(flow.payload_facts(_source(spark, folder, fixed()), settings(), fresh))
+    found = flow.types_of(facts).join(
+        flow.presence_of(facts, settings()), ["event_table", "parameter"], "left"
+    )
+    examples = flow.contract_of(facts).drop("type")
+    return plain(found.join(examples, ["event_table", "parameter"], "left"))
+
+
 def q_dlq_summary(spark: SparkSession, folder: str) -> DataFrame:
     return plain(flow.dlq_summary(_letters(spark, folder)))
 
@@ -630,10 +703,11 @@ def q_parameter_origin(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_flow_summary(spark: SparkSession, folder: str) -> DataFrame:
-    source = kept(flow.source_summary(_source(spark, folder, fixed())))
+    facts = _facts(spark, folder)
+    source = flow.summary_of(facts)
     letters = kept(flow.dlq_summary(_letters(spark, folder, fixed())))
     flows = kept(flow.reconcile(metrics(spark, folder), source, letters, settings()))
-    origins = kept(_origins(spark, folder, summary=source))
+    origins = kept(_origins(spark, folder, facts=facts))
     return flow.flow_summary(flows, source, letters, origins)
 
 
@@ -744,15 +818,15 @@ def q_sample_summary(spark: SparkSession, folder: str) -> DataFrame:
 def q_findings_report(spark: SparkSession, folder: str) -> DataFrame:
     measured = kept(metrics(spark, folder))
     checked = kept(_parameter_status(spark, folder))
-    summary = kept(flow.source_summary(_source(spark, folder, fixed())))
+    facts = _facts(spark, folder)
     report = findings.findings_report(
         status.event_status(measured, settings()),
         checked,
         _scan(measured),
         kept(_missing_ids(spark, folder)),
         settings(),
-        kept(_flows(spark, folder, measured, summary)),
-        kept(_origins(spark, folder, checked, summary)),
+        kept(_flows(spark, folder, measured, facts)),
+        kept(_origins(spark, folder, checked, facts)),
     )
     return plain(report.withColumn("value", F.round("value", 6)))
 

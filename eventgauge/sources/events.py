@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +45,8 @@ class EventSource:
     files are laid out by and that never lies outside a window bound on which the
     measurement column is inside (a partition timestamp, or the exact time next to
     a truncated one): the same bounds are then also put on it.  ``tables`` may list the
-    event tables a name column holds, which saves reading them.
+    event tables a name column holds, which saves reading them.  ``title`` tells apart
+    sources with equal name columns in frames that are kept from run to run.
     """
 
     frame: DataFrame
@@ -55,11 +55,17 @@ class EventSource:
     time_column: str | None = None
     prune_column: str | None = None
     tables: tuple[str, ...] = ()
+    title: str | None = None
 
     def __post_init__(self) -> None:
         if (self.name is None) == (self.name_column is None):
             raise ValueError("give an event source either a name or a name column")
 
+    @property
+    def label(self) -> str:
+        """What the source is called in frames kept from run to run."""
+        return self.title or self.name or f"{self.name_column} column"
+
     @property
     def columns(self) -> list[str]:
         return self.frame.columns
@@ -147,9 +153,16 @@ def event_times(
 
 
 def table_profiles(
-    sources: Sequence[EventSource], settings: Settings, windows: Windows | None = None
+    sources: Sequence[EventSource],
+    settings: Settings,
+    windows: Windows | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per event table: time column and which identifiers it can have."""
+    """One row per source and event table: time column and which identifiers it can have.
+
+    ``known`` (``sources.names``) lists names with their source; a name column is then not
+    read, and event tables without rows since the lookback began are listed as well.
+    """
     parts = []
     for index, source in enumerate(sources):
         present = {
@@ -157,7 +170,7 @@ def table_profiles(
             for name, logical in IDENTIFIERS.items()
         }
         parts.append(
-            _event_tables(source, windows).select(
+            _event_tables(source, windows, known).select(
                 F.lit(index).alias("source"),
                 "event_table",
                 F.lit(source.measured_by).cast("string").alias("measurement_time_column"),
@@ -170,7 +183,9 @@ def table_profiles(
     return united(parts)
 
 
-def table_columns(sources: Sequence[EventSource], windows: Windows | None = None) -> DataFrame:
+def table_columns(
+    sources: Sequence[EventSource], windows: Windows | None = None, known: DataFrame | None = None
+) -> DataFrame:
     """``event_table, column_name, type`` for every column of every event table."""
     parts = []
     for source in sources:
@@ -184,18 +199,23 @@ def table_columns(sources: Sequence[EventSource], windows: Windows | None = None
                 for f in held
             ]
         )
-        parts.append(_event_tables(source, windows).select("event_table", F.inline(listed)))
+        named = _event_tables(source, windows, known)
+        parts.append(named.select("event_table", F.inline(listed)))
     return united(parts)
 
 
-def _event_tables(source: EventSource, windows: Windows | None = None) -> DataFrame:
-    """The event tables of a source.
+def _event_tables(
+    source: EventSource, windows: Windows | None = None, known: DataFrame | None = None
+) -> DataFrame:
+    """The event tables of a source: those known by name, where such a frame is given.
 
     A list of names given with the source is taken as it is.  Otherwise names held in a
     column are read with a distinct over that one column, which combines on the map
     side; with windows only rows since the lookback began are read.
     """
     session = source.frame.sparkSession
+    if known is not None and source.name_column is not None and source.measured_by is not None:
+        return known.filter(F.col("source") == source.label).select("event_table")
     if source.tables:
         return session.createDataFrame([(name,) for name in source.tables], "event_table string")
     named = source.event_table.alias("event_table")
@@ -207,9 +227,15 @@ def _event_tables(source: EventSource, windows: Windows | None = None) -> DataFr
 
 
 def united(parts: Sequence[DataFrame]) -> DataFrame:
+    """All rows; the unions form a balanced tree, so thousands of parts stay shallow."""
     if not parts:
         raise ValueError("there is no event table with a timestamp column to measure")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    level = list(parts)
+    while len(level) > 1:
+        pairs = zip(level[::2], level[1::2])
+        merged = [a.unionByName(b, allowMissingColumns=True) for a, b in pairs]
+        level = merged + level[len(merged) * 2 :]
+    return level[0]
 
 
 def without_blacklisted(

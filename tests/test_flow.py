@@ -33,8 +33,8 @@ def test_physical_type_and_mode(spark):
         ("__UNKNOWN__", "", "", True), ("click", "x.click", "live", True),
         ("login", "x.y.login", "test", False), ("show", "a.show", "", True),
     ]
-    summary = rows(flow.source_summary(frame), "event_table", "modes", "invalid_json_rows", "missing_params_object_rows")
-    assert ("login", ["test"], 1, 0) in summary and ("click", ["live"], 0, 1) in summary
+    summary = rows(flow.source_summary(frame), "event_table", "n_modes", "invalid_json_rows", "missing_params_object_rows")
+    assert ("login", 1, 1, 0) in summary and ("click", 1, 0, 1) in summary
 
 
 def test_name_filter_does_not_repeat_parsing(spark):
