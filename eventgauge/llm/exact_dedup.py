@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventgauge.llm.shared import LAST, SPACE, cell, mixed, stored, texts
+from eventgauge.llm.shared import LAST, SPACE, cell, mixed, quoted, stored, texts
 
 #: Digests a bucket holds on average; one filter of about 1.2 bytes a digest is built in a task.
 BUCKET_KEYS = 50_000
@@ -216,16 +216,19 @@ def deduplicated(documents: DataFrame) -> DataFrame:
 def without_duplicates(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     stay = deduplicated(documents).filter("kept").select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("_id"), F.col("text_sha256").alias("_sha")
+        F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.col("text_sha256").alias("sha")
     )
+    # The row travels whole in a column of its own, so none of its names can clash.
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = documents.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(
-        "_sha", F.sha2(normalised(text).cast("binary"), 256)
+    keyed = documents.select(
+        F.struct(*[F.col(quoted(c)) for c in documents.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
+        F.sha2(normalised(text).cast("binary"), 256).alias("sha"),
     )
     # The window needs no shuffle of its own: the join has dealt and sorted the rows by its keys.
-    first = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy("_id"))
-    joined = keyed.join(stay.distinct(), ["_id", "_sha"]).withColumn("_first", first)
-    return joined.filter("_first = 1").select(*documents.columns)
+    first = F.row_number().over(Window.partitionBy("id", "sha").orderBy("id"))
+    joined = keyed.join(stay.distinct(), ["id", "sha"]).withColumn("first", first)
+    return joined.filter("first = 1").select("row.*")
 
 
 SQL = r"""

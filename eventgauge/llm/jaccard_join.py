@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventgauge.llm.components import components
-from eventgauge.llm.shared import LAST, cell, flat_bytes, steps, stored, texts, told
+from eventgauge.llm.shared import LAST, cell, flat_bytes, quoted, steps, stored, texts, told
 from eventgauge.llm.words import MinHash, shingle_sets
 
 SHINGLE = 5
@@ -280,6 +280,10 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     Rows that share an id, null included, stay or go together: they stay if one of them would.
     """
     same = F.coalesce("doc_id", F.lit(LAST)) == F.coalesce("class_id", F.lit(LAST))
-    stay = joined(documents).filter(same).select(F.coalesce("doc_id", F.lit(LAST)).alias("_id")).distinct()
-    keyed = documents.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    return keyed.join(stay, "_id", "left_semi").select(*documents.columns)
+    stay = joined(documents).filter(same).select(F.coalesce("doc_id", F.lit(LAST)).alias("id")).distinct()
+    # The row travels whole in a column of its own, so none of its names can clash.
+    keyed = documents.select(
+        F.struct(*[F.col(quoted(c)) for c in documents.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
+    )
+    return keyed.join(stay, "id", "left_semi").select("row.*")

@@ -47,6 +47,11 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def texts(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The id and the whole text, null as empty; all other columns are left unread."""
     return documents.select(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventgauge.llm.shared import LAST, CELLS, flat_bytes, mixed, steps, stored, texts, told
+from eventgauge.llm.shared import LAST, CELLS, flat_bytes, mixed, quoted, steps, stored, texts, told
 
 LENGTH = 200
 GRAM = 32
@@ -410,15 +410,20 @@ def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
             for text, flat in zip(*columns, strict=True):
                 data = text.encode()
                 made.append(_kept(data, whole_characters(data, _merged_spans(flat))).decode())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(made, pa.string())], ["_key", "_text"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(made, pa.string())], ["key", "cut"])
 
-    cut = held.select("key", "text").join(found, "key").mapInArrow(work, "_key long, _text string")
+    cut = held.select("key", "text").join(found, "key").mapInArrow(work, "key long, cut string")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = documents.withColumn("_key", _key(F.col("doc_id").cast("long"), text))
-    joined = keyed.join(cut.dropDuplicates(["_key"]), "_key", "left")
-    changed = {"text": F.coalesce("_text", "text")}
+    # The row travels whole in a column of its own, so none of its names can clash.
+    keyed = documents.select(
+        F.struct(*[F.col(quoted(c)) for c in documents.columns]).alias("row"),
+        _key(F.col("doc_id").cast("long"), text).alias("key"),
+    )
+    joined = keyed.join(cut.dropDuplicates(["key"]), "key", "left")
+    own = {c: F.col("row").getField(c) for c in documents.columns}
+    changed = {"text": F.coalesce(F.col("cut"), own["text"])}
     if "n_chars" in documents.columns:
-        changed["n_chars"] = F.when(F.col("_text").isNull(), F.col("n_chars")).otherwise(
-            F.length("_text").cast(documents.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("cut").isNull(), own["n_chars"]).otherwise(
+            F.length("cut").cast(documents.schema["n_chars"].dataType)
         )
-    return joined.select(*[changed[c].alias(c) if c in changed else c for c in documents.columns])
+    return joined.select(*[changed.get(c, own[c]).alias(c) for c in documents.columns])
