@@ -5,9 +5,13 @@ The reader takes the dictionary from the first frame, decodes one frame at a tim
 memory, and validates the version line, the needed headers, the content length and, where a
 record has a payload, its digest.
 
-Archives are rows (archive, part, bytes) of a stored table: Spark writes and reads them with
-its own committers in any store, and a lost task leaves no half-written file behind.
-`archive_bytes` of the parts of an archive, in order, are the file other tools read.
+Archives are rows (archive, bytes) of a stored table, each the whole of one file: Spark writes
+and reads them with its own committers in any store, and a lost task leaves no half-written file
+behind.  A row is at most `ARCHIVE_BYTES` of payloads and one more page, so archives are read
+where they lie, without moving them.  `read_files` reads files that other tools wrote.
+
+Html moves once: pages and the narrow rows that say which page a repeated payload refers to are
+dealt by page together, and the writer meets the fact just before its pages.
 
 Defined results: a null html is the empty payload; equal pages are records of their own; a null
 page_id comes before all others when the largest is sought, and of several rows that tie for
@@ -23,7 +27,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventgauge.llm.shared import steps, stored
@@ -33,9 +38,13 @@ VERSION = b"WARC/1.1"
 NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length", "warc-target-uri")
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes of html per archive, on average, and bytes of an archive per stored row.
+#: Bytes of html after which the next archive begins.
 ARCHIVE_BYTES = 8 << 20
-PART_BYTES = 1 << 20
+#: Bytes of records decoded before they are handed on.
+STEP_BYTES = 1 << 20
+#: Bytes of html a writing task is given on average, and the most tasks there are.
+TASK_BYTES = 32 << 20
+TASKS = 20_000
 #: The dictionary is trained on the first so many bytes of an archive's payloads.
 SAMPLE_BYTES = 1 << 20
 DICTIONARY_BYTES = 32 << 10
@@ -198,74 +207,76 @@ def responses(rows: DataFrame, least_bytes: int) -> DataFrame:
 
 
 def archives(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """archive, part, bytes of the written archives."""
+    """archive, bytes of the written archives."""
     rows = numbered(pages)
     total = rows.agg(F.sum("size")).first()[0] or 0
-    n = max(12, -(-total // archive_bytes))
-    seen = stored(responses(rows, least_bytes), "revisits")
-    page = F.coalesce("page_id", F.lit(LEAST))
-    # Of rows that tie for the largest id the first is the response; only they can have a rank over one.
-    tied = F.row_number().over(Window.partitionBy("page", "sha").orderBy("url"))
-    joined = rows.withColumn("page", page).join(seen, ["page", "sha"], "left").withColumn("rank", tied)
-    dealt = joined.select(
-        "page_id", "url", "html",
-        F.when((F.col("refers") != F.col("page")) | (F.col("rank") > 1), F.col("refers")).alias("refers"),
-        F.pmod(F.xxhash64("page_id", "url"), F.lit(n)).cast("int").alias("archive"),
-    ).repartition(int(n), "archive").sortWithinPartitions("archive", "page_id")
+    page, none = F.coalesce("page_id", F.lit(LEAST)), F.lit(None)
+    html = rows.select(
+        page.alias("page"), "sha", F.lit(1).alias("place"), "page_id", "url", "html", none.cast("long").alias("refers")
+    )
+    facts = responses(rows, least_bytes).select(
+        "page", "sha", F.lit(0).alias("place"), none.cast("long").alias("page_id"), none.cast("string").alias("url"),
+        none.cast("string").alias("html"), "refers",
+    )
+    tasks = int(min(TASKS, max(12, -(-total // TASK_BYTES))))
+    order = ["page", "sha", "place", "url"]
+    dealt = html.unionByName(facts).repartition(tasks, "page").sortWithinPartitions(*order)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, part, buffer, waiting, size, writer = None, 0, bytearray(), [], 0, None
+        number = TaskContext.get().partitionId() << 33
+        buffer, waiting, size, writer = bytearray(), [], 0, None
+        known, refers = None, None
 
         def begin() -> None:
-            nonlocal writer, waiting, size
+            nonlocal writer, waiting
             dictionary = trained([x[2] for x in waiting])
             data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
             writer = zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=True)
             buffer.extend(leading_frame(dictionary))
             for x in waiting:
                 put(*x)
-            waiting, size = [], 0
+            waiting = []
 
         def put(page: int | None, url: str, payload: bytes, refers: int | None) -> None:
             shown = None if refers is None else "" if refers == LEAST else str(refers)
             buffer.extend(writer.compress(record(page, url, payload, base32_sha1(payload), len(payload), shown)))
 
-        def flushed() -> pa.RecordBatch:
-            nonlocal part
+        def closed() -> pa.RecordBatch:
+            nonlocal number, writer, size
+            if writer is None:
+                begin()
             out = pa.RecordBatch.from_arrays(
-                [pa.array([current], pa.int32()), pa.array([part], pa.int32()), pa.array([bytes(buffer)], pa.binary())],
-                ["archive", "part", "bytes"],
+                [pa.array([number], pa.int64()), pa.array([bytes(buffer)], pa.binary())], ["archive", "bytes"]
             )
-            part += 1
+            number, writer, size = number + 1, None, 0
             buffer.clear()
             return out
 
+        names = ("page", "sha", "place", "page_id", "url", "html", "refers")
         for batch in steps(batches, "html"):
-            columns = (batch.column(c).to_pylist() for c in ("archive", "page_id", "url", "html", "refers"))
-            for archive, page, url, html, refers in zip(*columns, strict=True):
-                if archive != current:
-                    if writer is None and waiting:
-                        begin()
-                    if buffer:
-                        yield flushed()
-                    current, part, writer, waiting, size = archive, 0, None, [], 0
-                payload = html.encode()
+            for key, sha, place, page, url, html, target in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if place == 0:
+                    known, refers = (key, sha), target
+                    continue
+                payload, other = html.encode(), None
+                if (key, sha) == known:
+                    # Of rows that tie for the page referred to, the first is the response.
+                    other, known = (refers, known) if refers != key else (None, (key, sha, "told"))
+                elif known == (key, sha, "told"):
+                    other = refers
+                size += len(payload)
                 if writer is None:
-                    waiting.append((page, url, payload, refers))
-                    size += len(payload)
+                    waiting.append((page, url, payload, other))
                     if size >= SAMPLE_BYTES:
                         begin()
                 else:
-                    put(page, url, payload, refers)
-                if len(buffer) >= PART_BYTES:
-                    yield flushed()
-        if writer is None and waiting:
-            begin()
-        if buffer:
-            yield flushed()
+                    put(page, url, payload, other)
+                if size >= archive_bytes:
+                    yield closed()
+        if waiting or buffer:
+            yield closed()
 
-    kept = dealt.select("archive", "page_id", "url", "html", "refers")
-    return kept.mapInArrow(work, "archive int, part int, bytes binary")
+    return dealt.mapInArrow(work, "archive long, bytes binary")
 
 
 RECORDS = (
@@ -275,48 +286,38 @@ RECORDS = (
 
 
 def read(written: DataFrame, payloads: bool = True) -> DataFrame:
-    """The validated records of archives given as archive, part, bytes.
+    """The validated records of whole archives given as `bytes`, in any rows.
 
-    Archives are dealt to tasks; within one, frames are decoded one by one.
+    Each archive is decoded where it is read, frame by frame.
     """
     names = [x.split()[0] for x in RECORDS.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                yield batch.column("archive")[k].as_py(), batch.column("bytes")[k].as_py()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = rows(batches)
-        head = next(source, None)
-        while head is not None:
-            archive, following = head[0], []
-
-            def chunks(first=head[1], archive=archive, following=following) -> Iterator[bytes]:
-                yield first
-                for other, data in source:
-                    if other != archive:
-                        following.append((other, data))
-                        return
-                    yield data
-
-            made, size = [], 0
-            for data in frames(chunks()):
-                found = parse(data)
-                size += len(data)
-                if not payloads:
-                    found["payload"] = None
-                made.append(tuple(found[x] for x in names))
-                if size > PART_BYTES:
+                held = memoryview(batch.column("bytes")[k].as_buffer())
+                chunks = (bytes(held[i : i + STEP_BYTES]) for i in range(0, len(held), STEP_BYTES))
+                made, size = [], 0
+                for data in frames(chunks):
+                    found = parse(data)
+                    size += len(data)
+                    if not payloads:
+                        found["payload"] = None
+                    made.append(tuple(found[x] for x in names))
+                    if size > STEP_BYTES:
+                        yield _batch(made, kinds, names)
+                        made, size = [], 0
+                if made:
                     yield _batch(made, kinds, names)
-                    made, size = [], 0
-            if made:
-                yield _batch(made, kinds, names)
-            head = following[0] if following else None
 
-    ordered = written.repartition("archive").sortWithinPartitions("archive", "part")
-    return ordered.select("archive", "bytes").mapInArrow(work, RECORDS)
+    return written.select(F.coalesce("bytes", F.lit(b"")).alias("bytes")).mapInArrow(work, RECORDS)
+
+
+def read_files(spark: SparkSession, paths: str | list[str], payloads: bool = True) -> DataFrame:
+    """The validated records of `.warc.zst` files in any store Spark reads; folders and globs too."""
+    found = spark.read.format("binaryFile").load(paths)
+    return read(found.select(F.col("content").alias("bytes")), payloads)
 
 
 def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
