@@ -1009,6 +1009,13 @@ select event_table, rows_in_range, lookback_rows, round(lookback_rows / 2.0::dou
     round((rows_in_range - lookback_rows / 2.0::double) / (lookback_rows / 2.0::double), 6) end
     as delta_vs_lookback_expected
 from history"""
+FINAL["rolling_volume"] = f"""
+select event_table, rows_in_range, lookback_rows, round(lookback_rows / 2.0::double, 6) as expected_rows_from_lookback,
+  case when lookback_rows > 0 then
+    round((rows_in_range - lookback_rows / 2.0::double) / (lookback_rows / 2.0::double), 6) end
+    as delta_vs_lookback_expected
+from history where rows_in_range + lookback_rows > 0"""
+FINAL["rolling_parameter_metrics"] = "select * from parameter_counts"
 FINAL["event_status"] = """
 select event_table, status, rows_in_range, missing_adid_rows, missing_main_identifier_rows, missing_session_id_rows,
   missing_event_key_rows, duplicate_rows, replicated_rows, same_second_burst_rows, lookback_rows, missing_adid_pct,

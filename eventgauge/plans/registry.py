@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from eventgauge.functions import payload as P
 from eventgauge.functions import redact
 from eventgauge.functions import values as V
 from eventgauge.functions.windows import Windows
-from eventgauge.operators import contracts, drilldown, findings, flow, parameters, status
+from eventgauge.operators import contracts, drilldown, findings, flow, history, parameters, status
 from eventgauge.operators import events as E
 from eventgauge.plans import sample_views as views
 from eventgauge.plans.quality_run import prepare_session, special_tables
@@ -505,6 +506,29 @@ def q_volume_vs_lookback(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumns(rounded)
 
 
+def q_rolling_volume(spark: SparkSession, folder: str) -> DataFrame:
+    """Volume as a sum of days: those an earlier run counted, and the new ones alone."""
+    tables, border = sources(spark, folder), date(2024, 1, 22)
+    older = history.daily_rows(tables, fixed()).filter(F.col("day") < F.lit(border))
+    newer = history.daily_rows(tables, fixed(), border)
+    found = history.volume_of(older.unionByName(newer), fixed())
+    return found.select(
+        "event_table",
+        "rows_in_range",
+        "lookback_rows",
+        F.round("expected_rows_from_lookback", 6).alias("expected_rows_from_lookback"),
+        F.round("delta_vs_lookback_expected", 6).alias("delta_vs_lookback_expected"),
+    )
+
+
+def q_rolling_parameter_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Parameter metrics as a sum of days, the older ones counted by an earlier run."""
+    (tables, rules, _, config), border = _parameter_parts(spark, folder), date(2024, 1, 22)
+    older = history.daily_states(tables, rules, fixed(), config).filter(F.col("day") < F.lit(border))
+    newer = history.daily_states(tables, rules, fixed(), config, border)
+    return history.parameter_metrics_of(older.unionByName(newer), fixed()).drop("source")
+
+
 def q_event_status(spark: SparkSession, folder: str) -> DataFrame:
     flagged = status.event_status(metrics(spark, folder), settings())
     flagged = flagged.withColumn(

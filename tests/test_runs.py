@@ -6,11 +6,12 @@ import pytest
 from conftest import rows
 
 from eventgauge import EventSource, Settings, Windows
-from eventgauge.operators import contracts, flow, parameters
+from eventgauge.operators import contracts, flow, history, parameters
 from eventgauge.operators import events as E
 from eventgauge.operators.ranks import ranked
 from eventgauge.plans import quality_run
 from eventgauge.sources import artifacts, names, payloads
+from eventgauge.sources import events as events_mod
 from eventgauge.sources.catalog import TableEntry, shared_sources, table_inventory
 from eventgauge.sources.events import canonical_events, table_profiles, united
 from eventgauge.sources.versions import Conflict, VersionedTable
@@ -355,3 +356,41 @@ def test_sketched_top_values(spark):
         assert abs(r.value_rows - true[r.period, r.value]) <= 3.5 * n / 64
     with pytest.raises(ValueError):
         parameters.merged_top_values(whole, Windows.of("5 hours", "7 days", DAY), 3)
+
+
+# -- daily history ---------------------------------------------------------------
+def test_history_counts_each_day_once(spark, tmp_path):
+    config = Settings(CONFIG)
+    data = [
+        (f"event_{'ab'[i % 2]}", DAY - timedelta(days=d, hours=i), None if i % 3 else "x", "web" if i % 5 else "")
+        for d in range(-3, 12) for i in range(20)
+    ]
+    frame = spark.createDataFrame(data, "event_table string, event_date timestamp_ntz, region string, platform string")
+    rows_store = history.History(VersionedTable(spark, str(tmp_path / "rows")))
+    state_store = history.History(VersionedTable(spark, str(tmp_path / "states")))
+    asked = []
+    for day in (DAY, DAY + timedelta(days=1), DAY + timedelta(days=1), DAY + timedelta(days=3)):
+        windows = Windows.of("2 days", "7 days", day)
+        visible = [EventSource(frame.filter(frame["event_date"] < day + timedelta(hours=5)), name_column="event_table")]
+        rules = {0: parameters.source_rules(visible[0], config, None, [])}
+
+        def counted(first, windows=windows, visible=visible):
+            asked.append(first)
+            return history.daily_rows(visible, windows, first)
+
+        days = rows_store.extended(windows, counted)
+        whole = E.volume(events_mod.event_times(visible, windows, "scope"), windows)
+        assert rows(history.volume_of(days, windows)) == rows(whole)
+        states = state_store.extended(
+            windows, lambda first, w=windows, v=visible, r=rules: history.daily_states(v, r, w, config, first)
+        )
+        direct = parameters.parameter_metrics(visible, rules, windows, config)
+        assert rows(history.parameter_metrics_of(states, windows)) == rows(direct)
+    # The first run reads all, each later one from the first day that is not stored yet.
+    assert asked == [None, date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 6)]
+    assert rows_store.store.current() == 3
+    with pytest.raises(ValueError):
+        history.volume_of(days, Windows.of("5 hours", "7 days", DAY))
+    late = history.daily_rows(visible, windows, date(2024, 1, 6))
+    scan = late._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-01-06 00:00:00" in scan
