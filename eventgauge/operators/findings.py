@@ -16,6 +16,7 @@ from eventgauge.operators.ranks import ranked
 from eventgauge.operators.status import HIGH, LOW, NO_ROWS
 from eventgauge.settings import Settings
 from eventgauge.sources.events import united
+from eventgauge.sources.kept import kept
 
 # ---------------------------------------------------------------------------
 # Sections in report order with the rows each may show.
@@ -322,7 +323,8 @@ def findings_report(
 def sectioned(findings: DataFrame) -> DataFrame:
     """Number findings inside their section; a section can be as long as the data has steps."""
     order = ["source_rank", "order_key", "event_table", "parameter", "step", "issue"]
-    numbered = ranked(findings, ["section"], order)
+    # Kept, as sorting samples its input first: the sections would be put together twice.
+    numbered = ranked(kept(findings), ["section"], order)
     places = F.create_map(
         *[F.lit(p) for i, (name, _) in enumerate(SECTIONS, start=1) for p in (name, i)]
     )
