@@ -3,10 +3,13 @@
 1. Documents become ids, longer ones are cut, and each piece is described by a narrow row.
 2. The histogram of piece lengths (at most `capacity` rows, whatever the input) goes to the
    driver.  There the configuration linear program "fewest sequences that hold all pieces" is
-   solved by multiplicative weights: every length has a price, a knapsack dynamic program finds
-   the dearest configuration that fits, and prices of well served lengths fall.
-3. The fractional solution is rounded down; what it leaves is packed by best fit, decreasing,
-   on counts of lengths.
+   solved by multiplicative weights.  Every length has a price, which falls with the share of
+   its pieces that has been served.  A knapsack dynamic program prices all rooms at once, and
+   for each length that lags the dearest configuration with it is used fractionally.  Phases
+   follow until the average of all uses is within `GAP` of the bound that the prices prove.
+3. The average is rounded, dearest configurations by the best prices only; what it leaves is
+   packed by best fit, decreasing, on counts of lengths.  Which configurations count as dear
+   enough is chosen by the number of sequences that results.
 4. Every piece gets a rank among the pieces of its length, and the rank names its sequence and
    place.  Ranks are counted within salted buckets, so a length that a third of all pieces
    share is spread over all tasks.
@@ -18,6 +21,7 @@ first in that order; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -37,11 +41,14 @@ BUCKET_ROWS = 20_000
 LEAST_BUCKETS = 64
 #: Bytes of text a worker encodes at once.
 BATCH_BYTES = 6 << 20
-#: Steps of the multiplicative weights; each adds at most one configuration.
-ROUNDS = 600
-
-#: A price above a piece's share of a sequence for long pieces, which are the hardest to place.
-LONG = 1.15
+#: Phases of the multiplicative weights at most; each serves all pieces once more.
+ROUNDS = 60
+#: The phases end when the fractional solution is this close to the proven bound.
+GAP = 0.01
+#: How fast a price falls with the share served, in the first phase.
+RATE = 0.3
+#: How far below the dearest a configuration may be to be rounded; the best of these is kept.
+SLACK = (1e-9, 0.001, 0.002, 0.005, 0.02, 1.0)
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -52,8 +59,9 @@ class WordEncoder:
     The tokenizer never joins a character that is not white space with a blank after it, so
     the parts between single blanks can be encoded on their own, and repeated parts once: the
     distinct parts of a batch are encoded as one text and cut by the lengths of their tokens.
-    A text in which white space touches a blank is encoded whole.  The merges run in `tiktoken`,
-    which gives the same ids from the same vocabulary several times faster.
+    A text in which white space touches a blank is encoded whole, and so is one that holds the
+    string of a special token, which becomes its id.  The merges run in `tiktoken`, which gives
+    the same ids from the same vocabulary several times faster.
     """
 
     def __init__(self, path: str):
@@ -63,22 +71,25 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         characters = sorted(ByteLevel.alphabet())
-        vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
+        given = Tokenizer.from_file(path)
+        vocabulary = given.get_vocab(with_added_tokens=True)
+        special = {t.content: k for k, t in given.get_added_tokens_decoder().items()}
         # The byte a character of the vocabulary stands for: printable ones for themselves,
         # the others in order from code point 256.
         own = {c: ord(c) for c in characters if ord(c) < 256}
         others = [b for b in range(256) if b not in own.values()]
         own |= dict(zip((c for c in characters if ord(c) >= 256), others, strict=True))
-        ranks = {bytes(own[c] for c in k): v for k, v in vocabulary.items() if all(c in own for c in k) and k[:2] != "<|"}
+        ranks = {bytes(own[c] for c in k): v for k, v in vocabulary.items() if all(c in own for c in k) and k not in special}
         self.coder = tiktoken.Encoding(
-            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
+        self.odd = "|".join([r"[\s\p{Z}\x1c-\x1f\x{85}\x0b] ", "^ ", " $", *(re.escape(x) for x in special)])
         self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for k, v in ranks.items():
             self.sizes[v] = len(k)
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.coder.encode_ordinary(text), np.uint32)
+        return np.array(self.coder.encode(text, allowed_special="all"), np.uint32)
 
     def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct parts, each a blank and what follows it, and where each begins."""
@@ -90,7 +101,7 @@ class WordEncoder:
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text of a string column without nulls."""
-        odd = pc.match_substring_regex(column, r"[\s\p{Z}\x1c-\x1f\x{85}\x0b] |^ | $").to_numpy(False)
+        odd = pc.match_substring_regex(column, self.odd).to_numpy(False)
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(column)
         plain = np.flatnonzero(~odd)
         if len(plain):
@@ -151,57 +162,104 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
     return texts(documents).mapInArrow(work, PIECES)
 
 
-def dearest(prices: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of the highest total price: a knapsack solved by dynamic programming."""
+def room_values(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The highest total price of pieces in each room from 0 to `capacity`: a knapsack by dynamic programming."""
     best = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1)
+    usable = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(int(lengths[0]), capacity + 1):
-        usable = np.searchsorted(lengths, room, side="right")
-        value = best[room - lengths[:usable]] + prices[:usable]
-        top = int(np.argmax(value))
-        if value[top] > best[room - 1]:
-            best[room], choice[room] = value[top], top
-        else:
-            best[room] = best[room - 1]
+        n = usable[room]
+        best[room] = max(best[room - 1], (best[room - lengths[:n]] + prices[:n]).max())
+    return best
+
+
+def dearest(
+    prices: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int,
+    values: np.ndarray | None = None, first: int | None = None,
+) -> dict[int, int]:
+    """The configuration of the highest total price, among those with the length `first` if it is given.
+
+    `values` are those of the rooms at about these prices.  Lengths without a price are left out.
+    """
+    best = room_values(prices, lengths, capacity) if values is None else values
     counts: dict[int, int] = defaultdict(int)
     room = capacity
-    while room > 0:
-        if choice[room] < 0 or best[room] == best[room - 1]:
-            room -= 1
-            continue
-        counts[int(choice[room])] += 1
-        room -= int(lengths[choice[room]])
+    if first is not None:
+        counts[first] += 1
+        room -= int(lengths[first])
+    while n := int(np.searchsorted(lengths, room, side="right")):
+        top = int(np.argmax(np.where(prices[:n] > 0, best[room - lengths[:n]] + prices[:n], -1.0)))
+        if prices[top] <= 0:
+            break
+        counts[top] += 1
+        room -= int(lengths[top])
     return {k: min(v, int(limits[k])) for k, v in counts.items()}
 
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations and how often to use each, covering at most what there is.
+def proven(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """A bound on the number of sequences, and prices at which no configuration costs more than 1.
 
-    Multiplicative weights on the covering constraints: the price of a length starts near its
-    share of a sequence and falls by a factor for every portion of its pieces that is served.
-    Each step uses the dearest configuration as long as it serves a fixed share of the pieces.
+    Either the share of a sequence, or, for some length up to the half: nothing for what is
+    shorter and 1 for what leaves no room for it.
     """
-    left = counts.astype(float)
     share = lengths / capacity
-    weight = np.ones(len(lengths))
-    used: dict[tuple[tuple[int, int], ...], float] = defaultdict(float)
-    for _ in range(rounds):
-        open_ = left >= 1
-        if not open_.any():
-            break
-        places = np.flatnonzero(open_)
-        chosen = dearest((share**LONG * weight)[places], lengths[places], np.floor(left[places]), capacity)
-        if not chosen:
+    found = [share, np.where(2 * lengths == capacity, 0.5, (2 * lengths > capacity).astype(float))]
+    for low in lengths[2 * lengths <= capacity].tolist():
+        found.append(np.where(lengths > capacity - low, 1.0, np.where(lengths >= low, share, 0.0)))
+    bounds = [float((counts * p).sum()) for p in found]
+    k = int(np.argmax(bounds))
+    return bounds[k], found[k]
+
+
+Configuration = tuple[tuple[int, int], ...]
+
+
+def fractional(
+    lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS
+) -> tuple[dict[Configuration, float], float, np.ndarray]:
+    """Configurations and how often to use each to cover all pieces, the proven bound, and its prices.
+
+    Multiplicative weights on the covering constraints.  In phase t every length is served t
+    times over: the dearest configuration with it is used until one of its lengths is a whole
+    phase ahead, which takes that length out of the rest of the phase.
+    """
+    served, used, total = np.zeros(len(lengths)), defaultdict(float), 0.0
+    bound, dual = proven(lengths, counts, capacity)
+    base = dual + 0.001 * lengths / capacity
+    longest_first = np.argsort(-lengths).tolist()
+    for phase in range(1, rounds + 1):
+        rate = RATE / np.sqrt(phase)
+        prices = base * np.exp(-rate * (served - served.mean()))
+        values = room_values(prices, lengths, capacity)
+        if (shown := float((counts * prices).sum() / values[capacity])) > bound:
+            bound, dual = shown, prices / values[capacity]
+        live = np.where(served < phase + 1 - 1e-9, prices, 0.0)
+        for first in longest_first:
+            while served[first] < phase - 1e-9:
+                config = dearest(live, lengths, counts, capacity, values, first)
+                times = min(((phase if k == first else phase + 1) - served[k]) * counts[k] / v for k, v in config.items())
+                used[tuple(sorted(config.items()))] += times
+                total += times
+                for k, v in config.items():
+                    served[k] += v * times / counts[k]
+                    live[k] = base[k] * np.exp(-rate * (served[k] - phase + 0.5)) if served[k] < phase + 1 - 1e-9 else 0.0
+        if total / served.min() <= (1 + GAP) * bound:
             break
-        config = {int(places[k]): v for k, v in chosen.items() if v}
-        # Use it until some length in it has lost an eighth of what it has left (one at least).
-        times = max(1.0, np.floor(min(left[k] / v for k, v in config.items()) / 8))
-        times = min(times, np.floor(min(left[k] / v for k, v in config.items())))
-        used[tuple(sorted(config.items()))] += times
-        for k, v in config.items():
-            left[k] -= times * v
-            weight[k] *= 1 - 0.05 * min(1.0, times * v / counts[k])
-    return [(dict(c), t) for c, t in used.items()]
+    return {c: n / served.min() for c, n in used.items()}, bound, dual
+
+
+def rounded(
+    used: list[tuple[Configuration, float]], counts: np.ndarray
+) -> tuple[dict[Configuration, int], np.ndarray]:
+    """Whole uses of configurations, and the pieces left: each use is due when the sum of all reaches a whole number."""
+    left, out, due = counts.copy(), {}, 0.0
+    for config, n in used:
+        due += n
+        if times := min(int(due), *(int(left[k]) // v for k, v in config)):
+            out[config] = times
+            for k, v in config:
+                left[k] -= times * v
+        due -= int(due)
+    return out, left
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
@@ -209,18 +267,28 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
 
     The rounded linear program first; best fit, decreasing, for the rest.
     """
-    out: dict[tuple[tuple[int, int], ...], int] = defaultdict(int)
-    left = {k: v for k, v in histogram.items() if v > 0}
-    if full := left.pop(capacity, 0):
-        out[((capacity, 1),)] += full
-    if left:
-        lengths = np.array(sorted(left))
-        for config, times in fractional(lengths, np.array([left[k] for k in lengths.tolist()]), capacity, rounds):
-            key = tuple((int(lengths[k]), v) for k, v in sorted(config.items()))
-            if n := int(times):
-                out[key] += n
-                for length, v in key:
-                    left[length] -= n * v
+    held = {k: v for k, v in histogram.items() if v > 0}
+    whole = held.pop(capacity, 0)
+    full = [({capacity: 1}, whole)] if whole else []
+    if not held or not rounds:
+        return full + best_fit(held, capacity)
+    lengths = np.array(sorted(held))
+    counts = np.array([held[k] for k in lengths.tolist()])
+    used, _, dual = fractional(lengths, counts, capacity, rounds)
+    often = sorted(used.items(), key=lambda c: (-c[1], c[0]))
+    worth = [sum(dual[k] * v for k, v in config) for config, _ in often]
+    made = []
+    for slack in SLACK:
+        uses, left = rounded([c for c, w in zip(often, worth, strict=True) if w >= 1 - slack], counts)
+        program = [({int(lengths[k]): v for k, v in config}, n) for config, n in uses.items()]
+        rest = best_fit({int(k): int(v) for k, v in zip(lengths, left, strict=True) if v}, capacity)
+        made.append((sum(n for _, n in program + rest), int(left.sum()), program + rest))
+    return full + min(made, key=lambda m: m[:2])[2]
+
+
+def best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best fit, decreasing, on counts of lengths: configurations and their number of sequences."""
+    out: dict[Configuration, int] = defaultdict(int)
     # Best fit on classes of equal open sequences: free space -> contents -> number.
     free: dict[int, dict[tuple[int, ...], int]] = defaultdict(lambda: defaultdict(int))
     for length in sorted(left, reverse=True):

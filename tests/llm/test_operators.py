@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from eventgauge.llm import (
@@ -108,8 +109,9 @@ def test_packing(spark, awkward, documents, nothing):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(BPE)
-    coder.encode_special_tokens = True
-    for rows in (awkward, documents):
+    special = ["a <|endoftext|> b", "<|endoftext|>", " x<|endoftext|><|endoftext|>  y z", "<|endoftext| >", "one <|endoftext|>two <|x|>"]
+    specials = frame(spark, list(enumerate(special)))
+    for rows in (awkward, documents, specials):
         given = [(r.doc_id, r.text or "") for r in rows.select("doc_id", "text").collect()]
         pieces = packing.pack_documents(rows, BPE).collect()
         wanted = collections.Counter()
@@ -148,6 +150,62 @@ def test_plan_uses_every_piece_and_prices_configurations():
     assert packing.plan({}) == []
 
 
+def least_sequences(sizes, capacity):
+    """By trying every partition: the fewest sequences that hold the pieces."""
+
+    def place(rest, free):
+        if not rest:
+            return len(free)
+        found = [place(rest[1:], [*free, capacity - rest[0]])]
+        for room in {r for r in free if r >= rest[0]}:
+            left = list(free)
+            left[left.index(room)] -= rest[0]
+            found.append(place(rest[1:], left))
+        return min(found)
+
+    return place(sorted(sizes, reverse=True), [])
+
+
+def test_the_program_proves_its_bound_and_covers_all_pieces():
+    draw = np.random.default_rng(3)
+    for _ in range(25):
+        sizes = draw.integers(1, 40, draw.integers(1, 8)).tolist()
+        lengths, counts = np.unique(sizes, return_counts=True)
+        used, bound, dual = packing.fractional(lengths, counts, 40)
+        fewest = least_sequences(sizes, 40)
+        assert bound <= fewest + 1e-6
+        # No configuration is worth more than one at the prices of the bound.
+        assert packing.room_values(dual, lengths, 40)[40] <= 1 + 1e-6
+        served = np.zeros(len(lengths))
+        for config, n in used.items():
+            assert sum(int(lengths[k]) * v for k, v in config) <= 40
+            for k, v in config:
+                served[k] += n * v
+        assert (served >= counts * (1 - 1e-6)).all()
+        planned = packing.plan(collections.Counter(sizes), 40)
+        assert fewest <= sum(n for _, n in planned) <= fewest + 1
+
+
+def test_the_program_serves_most_pieces_at_every_size():
+    documents = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text")
+    coder = packing.encoder(BPE)
+    sizes = [len(x) + 1 for x in coder.encode(documents.combine_chunks().fill_null(""))]
+    base = collections.Counter(n for size in sizes for _, n in packing.cut(size, 1024) if n < 1024)
+    lengths = np.array(sorted(base))
+    for times in (1, 10, 100, 1000):
+        counts = np.array([base[k] * times for k in lengths.tolist()])
+        used, bound, dual = packing.fractional(lengths, counts, 1024)
+        assert sum(used.values()) <= 1.02 * bound + 1
+        often = sorted(used.items(), key=lambda c: (-c[1], c[0]))
+        worth = [c for c in often if sum(dual[k] * v for k, v in c[0]) >= 1 - packing.SLACK[3]]
+        _, left = packing.rounded(worth, counts)
+        assert left.sum() < 0.5 * counts.sum(), (times, left.sum() / counts.sum())
+        histogram = dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+        planned = sum(n for _, n in packing.plan(histogram))
+        assert planned <= 1.005 * bound + 1
+        assert planned <= 1.0005 * sum(n for _, n in packing.best_fit(histogram, 1024)) + 1
+
+
 # --- 3 -----------------------------------------------------------------------
 def test_sampled_segmentations(spark, awkward, nothing):
     found = piece_sampling.sampled(awkward, PIECES, k=3, with_ids=True).collect()
