@@ -35,6 +35,8 @@ from eventgauge.llm.shared import LAST, CELLS, flat_bytes, mixed, quoted, steps,
 
 LENGTH = 200
 GRAM = 32
+#: Windows handled at once; below 2 ** 28, as a place shares a word with its hash.
+SECTION = 1 << 24
 #: Bytes of distinct pieces a shard sorts, on average, and different pieces of one anchor in it.
 SHARD_BYTES = 1 << 20
 SHARD_PIECES = 8192
@@ -55,8 +57,25 @@ def gram_hashes(flat: np.ndarray) -> np.ndarray:
     return mixed(h)
 
 
-def runs(flat: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """text, first window, number of windows and anchor of every run of windows."""
+def runs(
+    flat: np.ndarray, offsets: np.ndarray, length: int = LENGTH, section: int = SECTION
+) -> tuple[np.ndarray, ...]:
+    """text, first window, number of windows and anchor of every run of windows.
+
+    The windows are handled a section at a time, which bounds the memory and the places inside
+    one; a run that goes on in the next section becomes two runs of the same anchor.
+    """
+    made = []
+    for begin in range(0, max(len(flat) - length + 1, 1), section):
+        data = flat[begin : begin + section + length - 1]
+        bounds = np.clip(offsets, begin, begin + len(data)) - begin
+        text, first, windows, anchor = section_runs(data, bounds, length)
+        made.append((text, first + begin + bounds[text] - offsets[text], windows, anchor))
+    return tuple(np.concatenate(c) for c in zip(*made, strict=True))
+
+
+def section_runs(flat: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The runs of one section, whose places fit into 28 bits."""
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
     if len(flat) < length:
         return none
