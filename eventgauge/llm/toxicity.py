@@ -1,9 +1,10 @@
 """Toxicity by compression distance: two zstandard dictionaries and calibrated thresholds.
 
 Both dictionaries are learned from a bounded sample of labelled texts (`SAMPLE` rows of each
-class), without near copies, which would make any of their words look typical of a class:
+class, of a longer text `TEXT_BYTES` spread evenly over it), without near copies, which would make any of their words look typical of a class:
 
-* the ordinary one is trained on windows of ordinary texts;
+* the ordinary one is trained on windows of ordinary texts, at most `TRAIN_WINDOWS` of them,
+  spread evenly over all ordinary texts of the sample;
 * the toxic one is made of what toxic texts repeat and ordinary texts lack, in front of the
   ordinary content, so that on ordinary windows both compress alike and only toxic material
   makes a difference.
@@ -23,7 +24,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,10 @@ from eventgauge.llm.shared import fold, labelled_sample, steps, texts
 
 #: Labelled rows of each class that are used at most.
 SAMPLE = 4000
+#: Bytes of a labelled text that are used at most.
+TEXT_BYTES = 32 << 10
+#: Windows the ordinary dictionary is trained on at most.
+TRAIN_WINDOWS = 60_000
 WINDOW = 160
 ORDINARY_BYTES = 110_000
 TOXIC_BYTES = 16 << 10
@@ -55,6 +60,20 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
     return out
 
 
+def evenly(items: Sequence, most: int) -> list:
+    """All of a list, or as many as allowed at equal distances."""
+    return list(items) if len(items) <= most else [items[i * len(items) // most] for i in range(most)]
+
+
+def spread(text: str, most: int = TEXT_BYTES) -> str:
+    """The text, or pieces of the size of a window from all over it."""
+    data = text.encode()
+    if len(data) <= most:
+        return text
+    starts = evenly(range(0, len(data), WINDOW), max(1, most // (WINDOW + 1)))
+    return b" ".join(data[s : s + WINDOW] for s in starts).decode(errors="ignore")
+
+
 @dataclass(frozen=True)
 class Model:
     """The two dictionaries and the logistic curve; small, so it goes to every task."""
@@ -134,7 +153,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
     # What is most frequent comes last, nearest to the window.
     own.sort(key=lambda w: (in_toxic[w], w))
     content = (b" " + b" ".join(own) + b" ")[-TOXIC_BYTES:]
-    samples = [w for text in ordinary[:2000] for w in windows(text)][:60_000]
+    samples = evenly([w for text in ordinary for w in windows(text)], TRAIN_WINDOWS)
     try:
         base = zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()[-ORDINARY_BYTES:]
     except (zstandard.ZstdError, ValueError):  # too little to train on
@@ -169,7 +188,15 @@ def train(rows: list[tuple[int, str, int]]) -> Model:
 def fitted(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Model:
     """Learned from the labels of the rows outside the held-out fold."""
     sample = labelled_sample(documents, labels, "toxic", per_class, fold("doc_id") != 0)
-    return train([(r["doc_id"], r["text"], r["label"]) for r in sample.collect()])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            bounded = pa.array([spread(t) for t in batch.column("text").to_pylist()], pa.string())
+            columns = [batch.column("doc_id"), bounded, batch.column("label")]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "label"])
+
+    rows = sample.select("doc_id", "text", "label").mapInArrow(work, "doc_id long, text string, label int").collect()
+    return train([(r["doc_id"], r["text"], r["label"]) for r in rows])
 
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:

@@ -465,6 +465,7 @@ def test_toxicity_on_held_out_rows(spark, awkward, nothing):
     toxic, clean = held.loc[held["toxic"] == 1], held.loc[held["toxic"] == 0]
     assert clean["predicted"].mean() < 0.02
     assert (held["predicted"] == held["toxic"]).mean() > 0.92
+    assert toxic["predicted"].mean() > 0.45
     above = (toxic["score"].to_numpy()[:, None] > clean["score"].to_numpy()).mean()
     assert above > 0.75
     found = toxicity.scored(awkward, model).collect()
@@ -476,6 +477,21 @@ def test_toxicity_on_held_out_rows(spark, awkward, nothing):
     assert {r.predicted for r in toxicity.scored(awkward, none).collect()} == {0}
 
 
+def test_labelled_texts_are_bounded_evenly():
+    assert toxicity.evenly(list(range(10)), 10) == list(range(10))
+    assert toxicity.evenly(range(10), 5) == [0, 2, 4, 6, 8]
+    assert toxicity.spread("é x", 4) == "é x"
+    long = "".join(f"{k:06d} " for k in range(100_000)) + "é" * 50_000
+    cut = toxicity.spread(long, 5000)
+    assert 4000 < len(cut.encode()) <= 5000 and cut.startswith("000000 ") and cut.endswith("é")
+    # Pieces from all over: the numbers in them rise and reach the last tenth.
+    found = [int(x) for x in re.findall(r"\b\d{6}\b", cut)]
+    assert found == sorted(found) and found[-1] > 90_000
+    # One long text does not push the others out of the dictionary's windows.
+    model = toxicity.dictionaries(["bad words here"] * 3, ["a " * 500_000, *["quite ordinary sentences"] * 9])
+    assert model.ordinary
+
+
 # --- 10 ----------------------------------------------------------------------
 SAID = "</s>[INST] ok [/INST]"
 CHATS = [(-7, 0, "user", SAID), (-7, 1, "assistant", SAID), (1, 0, "user", None), (1, 1, None, "x"), (2, 1, "assistant", "b\\"),
@@ -530,6 +546,25 @@ def test_pipeline_stages(spark):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_runs_do_not_depend_on_sections():
+    draw = np.random.default_rng(5)
+    texts = [draw.integers(97, 100, n).astype(np.uint8) for n in (0, 199, 200, 201, 5000, 1, 1300)]
+    flat, offsets = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+    def windows(section):
+        made = {}
+        for text, first, n, anchor in zip(*suffix_dedup.runs(flat, offsets, 200, section), strict=True):
+            for k in range(n):
+                assert made.setdefault((int(text), int(first) + k), int(anchor)) == int(anchor)
+        return made
+
+    whole = windows(1 << 24)
+    assert set(whole) == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - 199)}
+    assert len(set(whole.values())) > 20
+    for section in (1, 150, 777, 4096):
+        assert windows(section) == whole
+
+
 def test_flat_bytes_of_slices():
     from eventgauge.llm.shared import flat_bytes, steps
 
