@@ -25,11 +25,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder all machines share: spark.checkpoint.dir, or a temporary one where it is unset.
+
+    A temporary folder is one machine's own, so it serves a local session only.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isEmpty():
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
             held = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = held.get()
@@ -147,3 +152,20 @@ def told(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """
     cells = rows.select(key, "cell").distinct().join(facts, key)
     return rows.join(cells, [key, "cell"])
+
+
+#: Keys that may be broadcast: each holds more than one row in so many.
+HOT_KEYS = 4096
+
+
+def matched(rows: DataFrame, facts: DataFrame, key: str, size: str) -> DataFrame:
+    """Rows joined to the stored facts of their key, one a key; `size` is a key's number of rows.
+
+    A key with more than one row in HOT_KEYS of all stays where its rows are: fewer than HOT_KEYS
+    keys are so and these are broadcast.  The others are shuffled by key, so no task gets more
+    than that share of the rows from one key.
+    """
+    bound = (facts.agg(F.sum(size)).first()[0] or 0) // HOT_KEYS
+    hot = F.broadcast(facts.filter(F.col(size) > bound))
+    rest = rows.join(hot.select(key), key, "left_anti").join(facts.filter(F.col(size) <= bound), key)
+    return rows.join(hot, key).unionByName(rest)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventgauge.llm.shared import LAST, CELLS, flat_bytes, mixed, quoted, steps, stored, texts, told
+from eventgauge.llm.shared import LAST, CELLS, flat_bytes, matched, mixed, quoted, steps, stored, texts, told
 
 LENGTH = 200
 GRAM = 32
@@ -271,16 +271,14 @@ def found_in_shards(distinct: DataFrame, length: int, shard_pieces: int) -> Data
     """piece, runs: the windows of each distinct piece that occur twice anywhere."""
     total = distinct.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(LEAST_SHARDS, int(total // SHARD_BYTES) + 1)
-    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("pieces"))
+    sizes = stored(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("pieces")), "sizes")
     # The only piece of an anchor: its windows differ from each other, so they occur as often as it does.
-    only = distinct.join(sizes.filter("pieces = 1").select("anchor"), "anchor").filter("n > 1")
-    whole = only.select("piece", F.array(F.lit(0), (F.octet_length("content") - length).cast("int")).alias("runs"))
-    distinct = distinct.join(sizes.filter("pieces > 1").select("anchor"), "anchor")
-    wide = sizes.filter(F.col("pieces") > shard_pieces).select(
-        "anchor", F.ceil(F.col("pieces") / shard_pieces).cast("int").alias("parts")
-    )
-    dealt = distinct.join(wide, "anchor", "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("piece"), "parts").cast("int"), F.lit(-1))
+    ends = distinct.filter("n > 1").select("anchor", "piece", (F.octet_length("content") - length).cast("int").alias("end"))
+    whole = matched(ends, sizes, "anchor", "pieces").filter("pieces = 1").select("piece", F.array(F.lit(0), "end").alias("runs"))
+    several = matched(distinct, sizes.filter("pieces > 1"), "anchor", "pieces")
+    parts = F.ceil(F.col("pieces") / shard_pieces).cast("int")
+    dealt = several.withColumn(
+        "part", F.when(F.col("pieces") > shard_pieces, F.pmod(F.xxhash64("piece"), parts).cast("int")).otherwise(-1)
     )
     # A split anchor has shards of its own, so equal parts of others do not meet in one task.
     spread = F.when(F.col("part") < 0, F.pmod(F.xxhash64("anchor"), F.lit(shards))).otherwise(
@@ -335,8 +333,8 @@ def spans(documents: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_
     """The texts that hold repeated anchors (key, text), and their spans (key, spans)."""
     rows = numbered(documents)
     marked = stored(anchors(rows, length), "anchors")
-    often = marked.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    lists = marked.join(often, "anchor").groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("runs"))
+    often = stored(marked.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often")
+    lists = matched(marked, often, "anchor", "n").groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("runs"))
     held = stored(rows.join(lists, "key").select("key", "text", "runs"), "texts")
     owners = cut_pieces(held, length)
     distinct = stored(
@@ -344,9 +342,9 @@ def spans(documents: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_
     )
     found = stored(found_in_shards(distinct, length, shard_pieces), "found")
     facts = found.groupBy("piece").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    placed = told(
-        owners.select("piece", "key", "first", F.pmod("key", F.lit(CELLS)).cast("int").alias("cell")), facts, "piece"
-    )
+    # Read twice below, so cut from the texts once more only, and stored without their content.
+    own = stored(owners.select("piece", "key", "first", F.pmod("key", F.lit(CELLS)).cast("int").alias("cell")), "owners")
+    placed = told(own, facts, "piece")
     shifted = F.transform("runs", lambda x, i: x + F.col("first") + F.when(i % 2 == 1, length).otherwise(0))
     grouped = placed.select("key", shifted.alias("spans")).groupBy("key").agg(
         F.flatten(F.collect_list("spans")).alias("spans")
