@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventgauge.llm.shared import stored
+from eventgauge.llm.shared import cell, stored, told
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """u, root for every node of an edge (u, v) that is not itself the root; roots are the least.
 
-    A star moves only edges, one row each, so no neighbourhood is gathered.  Every round is
+    A star moves only edges, one row each, so no neighbourhood is gathered; the edges of one node
+    learn its least neighbour in salted cells.  Every round is
     stored; the loop ends when a round changes nothing.
     """
     current = stored(_downward(edges), "edges")
@@ -41,10 +42,11 @@ def _state(edges: DataFrame) -> tuple:
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _downward(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+    upward = both.filter("v > u").withColumn("cell", cell("v"))
+    return _downward(told(upward, least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = told(edges.withColumn("cell", cell("v")), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _downward(moved.unionByName(least.select("u", F.col("m").alias("v"))))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventgauge.llm.components import components
-from eventgauge.llm.shared import LAST, cell, flat_bytes, quoted, steps, stored, texts, told
+from eventgauge.llm.shared import LAST, cell, flat_bytes, matched, quoted, steps, stored, texts, told
 from eventgauge.llm.words import MinHash, shingle_sets
 
 SHINGLE = 5
@@ -90,7 +90,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     """key, node, size, least of every band key that at least two nodes share."""
     pairs = nodes.select("node", F.explode("keys").alias("key"))
     shared = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least")).filter("size > 1")
-    return pairs.join(shared, "key")
+    return matched(pairs, stored(shared, "shared"), "key", "size")
 
 
 def node_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
