@@ -20,7 +20,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not before[0]:
             break
-        current = stored(_small(_large(current)), "edges")
+        # Each star reads its edges several times, so the first is stored for the second.
+        current = stored(_small(stored(_large(current), "edges")), "edges")
         after = _state(current)
         if after == before:
             break
