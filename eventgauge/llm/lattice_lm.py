@@ -96,16 +96,18 @@ def chunks(documents: DataFrame, buckets: int) -> DataFrame:
             flat = place[np.searchsorted(marks, flat)] if len(words) else flat
             trained = np.repeat(np.array(train, bool), sizes)
             counts = np.bincount(flat[trained], minlength=len(words))
-            cuts = np.searchsorted(home[order], np.arange(buckets + 1))
-            used = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
-            parts = [[words[i] for i in order[cuts[b] : cuts[b + 1]]] for b in used]
+            # Only the buckets at hand are looked at, so a batch's work does not grow with the input.
+            used, starts = np.unique(home[order], return_index=True)
+            cuts = [*starts.tolist(), len(words)]
+            spans = [slice(a, b) for a, b in itertools.pairwise(cuts)] if len(words) else []
+            parts = [[words[i] for i in order[span]] for span in spans]
             name = int.from_bytes(np.random.default_rng().bytes(8), "little", signed=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([name], pa.int64()), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([packed(sizes.astype(np.uint32))], pa.binary()), pa.array([packed(flat.astype(np.uint32))], pa.binary()),
-                    pa.array([used], pa.list_(pa.int32())), pa.array([[joined_words(p) for p in parts]], pa.list_(pa.binary())),
-                    pa.array([[packed(counts[cuts[b] : cuts[b + 1]].astype(np.uint32)) for b in used]], pa.list_(pa.binary())),
+                    pa.array([used.tolist()], pa.list_(pa.int32())), pa.array([[joined_words(p) for p in parts]], pa.list_(pa.binary())),
+                    pa.array([[packed(counts[span].astype(np.uint32)) for span in spans]], pa.list_(pa.binary())),
                 ],
                 [x.split()[0] for x in CHUNKS.split(", ")],
             )
