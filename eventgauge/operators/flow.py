@@ -95,14 +95,20 @@ def payload_facts(
     return counted.withColumn("kind", P.value_kind(F.col("schema"), F.col("filled"))).drop("schema")
 
 
+def _modes() -> Column:
+    """The distinct filled modes, sorted, from rows with one mode each."""
+    return F.sort_array(F.collect_set(F.nullif("mode", F.lit("")))).alias("modes")
+
+
 def summary_of(facts: DataFrame) -> DataFrame:
-    """Rows, invalid rows and rows without parameters per event name, from ``payload_facts``."""
+    """Modes, rows, invalid rows and rows without parameters per event name, from ``payload_facts``."""
     modes = facts.groupBy("event_table", "mode").agg(
         F.min("raw_type").alias("raw_type"),
         *[F.sum(c).alias(c) for c in ("n_rows", "n_invalid", "n_lacking")],
     )
     return modes.groupBy("event_table").agg(
         F.min("raw_type").alias("source_type"),
+        _modes(),
         F.count_if(F.col("mode") != "").alias("n_modes"),
         F.sum("n_rows").alias("raw_rows"),
         F.sum("n_invalid").alias("invalid_json_rows"),
@@ -111,7 +117,7 @@ def summary_of(facts: DataFrame) -> DataFrame:
 
 
 def modes_of(facts: DataFrame) -> DataFrame:
-    """Every mode of every event with its payload rows; rows, as a list has no bound."""
+    """Every mode of every event with its payload rows."""
     counted = facts.groupBy("event_table", "mode").agg(F.sum("n_rows").alias("raw_rows"))
     return counted.filter("mode <> ''")
 
@@ -155,10 +161,10 @@ def contract_of(facts: DataFrame) -> DataFrame:
 
 
 def source_summary(payloads: DataFrame) -> DataFrame:
-    """Rows, invalid rows and rows without parameters per event name.
+    """Modes, rows, invalid rows and rows without parameters per event name.
 
     Rows are first counted per (event, written type, mode), which needs only hash
-    aggregation; the text minimum is taken over those counts.
+    aggregation; the text minimum and the set of modes are taken over those counts.
     """
     lacking = F.col("valid") & P.lacks_params(F.col("body"))
     return summary_of(

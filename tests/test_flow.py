@@ -37,6 +37,15 @@ def test_physical_type_and_mode(spark):
     assert ("login", 1, 1, 0) in summary and ("click", 1, 0, 1) in summary
 
 
+def test_source_summary_lists_modes(spark):
+    texts = ['{"type":"a.show"}'] * 5 + ['{"type":"b.hide"}']
+    frame = parsed(spark, texts, mode=["test", None, "live", "", "test", None])
+    wanted = [("hide", [], 0, 1), ("show", ["live", "test"], 2, 5)]
+    assert rows(flow.source_summary(frame), "event_table", "modes", "n_modes", "raw_rows") == wanted
+    facts = flow.payload_facts(frame, Settings())
+    assert rows(flow.summary_of(facts), "event_table", "modes", "n_modes", "raw_rows") == wanted
+
+
 def test_name_filter_does_not_repeat_parsing(spark):
     frame = parsed(spark, ['{"type":"a"}'])
     filtered = without_blacklisted(frame, Settings({"table_blacklist": ["debug_*"]}))
