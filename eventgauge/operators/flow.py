@@ -229,7 +229,7 @@ def letter_facts(letters: DataFrame) -> DataFrame:
 
 
 def dlq_summary_of(facts: DataFrame) -> DataFrame:
-    """Rejected rows per event, dead-letter table and payload shape, from ``letter_facts``."""
+    """Rejected rows and modes per event, dead-letter table and shape, from ``letter_facts``."""
     empty = F.lit("")
     modes = facts.groupBy(*LETTER_KEYS, "mode").agg(
         *[F.min(c).alias(c) for c in ("source_event_name", "rejected_at_min")],
@@ -238,6 +238,7 @@ def dlq_summary_of(facts: DataFrame) -> DataFrame:
     )
     return modes.groupBy(*LETTER_KEYS).agg(
         F.coalesce(F.min("source_event_name"), empty).alias("source_event_name"),
+        _modes(),
         F.count_if(F.col("mode") != "").alias("n_modes"),
         F.sum("n_rows").alias("dlq_rows"),
         F.sum("n_parameters").alias("event_parameters_rows"),

@@ -102,6 +102,15 @@ def test_dead_letters(spark):
     assert rows(flow.dlq_errors(frame), "validation_error", "dlq_rows") == [("a", 1), ("b", 2)]
 
 
+def test_dead_letter_summary_lists_modes(spark):
+    texts = ['{"event":{"name":"x.pay"}}'] * 4 + ["{"]
+    frame = parsed(spark, texts, dead_letter=True, mode=["test", "live", None, "test", ""])
+    wanted = [("__UNKNOWN__", [], 0, 1), ("pay", ["live", "test"], 2, 4)]
+    assert rows(flow.dlq_summary(frame), "event_table", "modes", "n_modes", "dlq_rows") == wanted
+    found = flow.dlq_summary_of(flow.letter_facts(frame))
+    assert rows(found, "event_table", "modes", "n_modes", "dlq_rows") == wanted
+
+
 # -- reconciliation ------------------------------------------------------------
 def reconciled(spark, parsed_rows=(), raw=(), dlq=(), config=None):
     return {
