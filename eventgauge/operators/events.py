@@ -104,10 +104,13 @@ def future_rows(times: DataFrame, windows: Windows, tolerance_minutes: int) -> D
     )
 
 
+def _keyed(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("adid").isNotNull() & F.col("event_key").isNotNull())
+
+
 def event_groups(events: DataFrame) -> DataFrame:
     """Rows per (table, time, adid, key), where adid and key are both present."""
-    keyed = events.filter(F.col("adid").isNotNull() & F.col("event_key").isNotNull())
-    return keyed.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("group_rows"))
+    return _keyed(events).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("group_rows"))
 
 
 def duplicate_rows(events: DataFrame) -> DataFrame:
@@ -147,28 +150,29 @@ def burst_rows(events: DataFrame, threshold: int) -> DataFrame:
 
 
 def anomaly_counts(events: DataFrame, threshold: int) -> DataFrame:
-    """Duplicates, replicated rows and bursts from one scan in one linear plan.
+    """Duplicates, replicated rows and bursts, each from groups of its own size.
 
-    The (time, adid, key) groups are needed once per (time, adid) and once per key.
-    Both follow from a single grouping-sets aggregation over the groups, so nothing
-    is computed twice and no large frame is joined.
+    The (time, adid, key) groups are counted per (time, adid) and from there per table.  The
+    distinct keys of a table come from a narrow scan of their own: they are far fewer than
+    the groups, and a task that counts groups need not hold each of them once more by its key.
     """
-    groups = event_groups(events)
-    sets = groups.groupingSets(
-        [
-            [F.col(c) for c in SECOND],
-            [F.col("event_table"), F.col("event_key")],
-        ],
-        *[F.col(c) for c in GROUP],
-    ).agg(F.sum("group_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_groups"))
-    by_second = F.col("event_key").isNull()
-    burst = by_second & (F.col("n_groups") > threshold)
-    return sets.groupBy("event_table").agg(
-        V.sum_or_zero(F.when(by_second, F.col("n_rows") - F.col("n_groups"))).alias(
-            "duplicate_rows"
-        ),
-        V.sum_or_zero(F.when(~by_second, F.col("n_groups") - 1)).alias("replicated_rows"),
-        V.sum_or_zero(F.when(burst, F.col("n_rows"))).alias("same_second_burst_rows"),
+    seconds = _seconds(event_groups(events))
+    keys = _keyed(events).select("event_table", "event_key").distinct()
+    n_rows, n_groups = F.col("rows_in_second"), F.col("unique_event_keys")
+    parts = seconds.groupBy("event_table").agg(
+        F.sum(n_rows - n_groups).alias("duplicate_rows"),
+        F.sum(n_groups).alias("replicated_rows"),
+        V.sum_or_zero(F.when(n_groups > threshold, n_rows)).alias("same_second_burst_rows"),
+    )
+    zero = F.lit(0).cast("long")
+    repeated = keys.groupBy("event_table").agg(
+        zero.alias("duplicate_rows"),
+        (-F.count(F.lit(1))).alias("replicated_rows"),
+        zero.alias("same_second_burst_rows"),
+    )
+    counts = ("duplicate_rows", "replicated_rows", "same_second_burst_rows")
+    return parts.unionByName(repeated).groupBy("event_table").agg(
+        *[V.sum_or_zero(F.col(name)).alias(name) for name in counts]
     )
 
 

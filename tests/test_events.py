@@ -89,6 +89,17 @@ def test_anomalies_match_brute_force(spark, drawn):
     assert sum(r.rows_in_second for r in firsts.collect()) == sum(e[3] for e in expected)
 
 
+def test_anomalies_hold_a_group_once(spark):
+    """Groups are not expanded: a task that counts them has no second copy by their key."""
+    seconds = [(DAY + timedelta(seconds=i % 7), f"a{i % 3}", f"k{i % 11}") for i in range(200)]
+    data = spark.createDataFrame(seconds, "event_time timestamp_ntz, adid string, event_key string")
+    events = data.selectExpr("if(adid = 'a0', 'event_a', 'event_b') as event_table", "*")
+    found = E.anomaly_counts(events, 3)
+    for single in (E.duplicate_rows(events), E.replicated_rows(events), E.burst_rows(events, 3)):
+        assert rows(single) == rows(found, *single.columns)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_one_hot_second_is_counted_whole(spark):
     """A third of all rows in one second of one identifier, most of them one key."""
     hot = [("a", DAY, "bot", "u", "s", str(i % 7), "1") for i in range(700)]
