@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 from eventgauge.llm.shared import mixed
 
@@ -62,6 +63,7 @@ class Vocabulary:
         for value, i in enumerate(self.byte.tolist()):
             if i >= 0:
                 self.decoded[i] = bytes([value])
+        self.spelled = pa.array(self.decoded, pa.large_binary())
 
 
 def _powers(n: int) -> np.ndarray:

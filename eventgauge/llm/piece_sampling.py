@@ -57,7 +57,7 @@ class Sampler:
         first = self.lattice.first[self.lattice.start]
         before = np.where(first > 0, total[np.maximum(first - 1, 0)], 0.0)
         self.reached = total - before
-        self.reached[self.lattice.after[np.unique(self.lattice.start)] - 1] = 2.0
+        self.reached[self.lattice.after[self.lattice.after > self.lattice.first] - 1] = 2.0
         self.is_end = np.zeros(len(self.lattice.first), bool)
         self.is_end[self.lattice.ends] = True
 
@@ -191,10 +191,11 @@ def sample_batch(
 
     def drawn(nodes: np.ndarray, who: np.ndarray, number: int) -> list[np.ndarray]:
         """The ways from the nodes (in the order of their texts), cut by text; seeds differ by place."""
-        ranks = np.arange(len(who)) - np.searchsorted(who, who)
-        edges, steps_ = sampler.ways(nodes, mixed(seed_of[who] ^ ranks.astype(np.uint64)), number)
-        ends = np.concatenate([[0], np.cumsum(steps_)])
-        cuts = ends[np.searchsorted(who, np.arange(len(codes) + 1))]
+        counts = np.bincount(who, minlength=len(codes))
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        ranks = np.arange(len(who)) - np.repeat(bounds[:-1], counts)
+        edges, steps_ = sampler.ways(nodes, mixed(np.repeat(seed_of, counts) ^ ranks.astype(np.uint64)), number)
+        cuts = np.concatenate([[0], np.cumsum(steps_)])[bounds]
         return [edges[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     for n, edges in enumerate(drawn(roots[flat], owner, 0)):
@@ -247,7 +248,11 @@ def _ids(edges: np.ndarray, spelled: bool, lattice: Lattice, given: Vocabulary)
 
 def decode(ids: np.ndarray, given: Vocabulary) -> str:
     """The text of piece ids: marks are blanks, and the first one is dropped."""
-    return b"".join(map(given.decoded.__getitem__, ids.tolist()))[1:].decode()
+    # Taken pieces lie end to end in one buffer.
+    taken = given.spelled.take(pa.array(ids, pa.int64()))
+    _, ends, held = taken.buffers()
+    size = int(np.frombuffer(ends, np.int64, len(taken) + 1)[-1]) if len(taken) else 0
+    return held.slice(0, size).to_pybytes()[1:].decode() if size else ""
 
 
 SCHEMA = (

@@ -241,6 +241,19 @@ def every_way(text, vocabulary):
     return dict(out)
 
 
+def test_pieces_are_decoded_without_a_list_of_them():
+    """Decoding reads the pieces from one array; it spells what the pieces one by one spell."""
+    vocabulary = lattice.vocabulary(PIECES)
+    assert vocabulary.spelled.to_pylist() == vocabulary.decoded
+    draw = np.random.default_rng(5)
+    for text in ("", "a", " two  blanks ", "naïve 試 \U0001f9ea\x00", "word " * 500):
+        ids = np.array(vocabulary.model.encode(text), np.int64) if text else np.zeros(0, np.int64)
+        assert piece_sampling.decode(ids, vocabulary) == b"".join(vocabulary.decoded[i] for i in ids)[1:].decode()
+    plain = [i for i, piece in enumerate(vocabulary.decoded) if piece.isascii()]
+    ids = draw.choice(plain, 3000)
+    assert piece_sampling.decode(ids, vocabulary) == b"".join(vocabulary.decoded[i] for i in ids)[1:].decode()
+
+
 def test_samples_follow_the_gumbel_law():
     vocabulary = lattice.vocabulary(PIECES)
     ways = every_way("hats", vocabulary)
