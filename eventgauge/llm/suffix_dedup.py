@@ -8,11 +8,13 @@ A byte goes if a string of `length` bytes that covers it also starts anywhere el
    form a run; only (anchor, text, run) rows move, about one for 85 bytes.
 2. Anchors seen once are done with.  For the others the bytes of their runs (368 at most) are
    cut from the texts; equal pieces become one with a count, before and after the shuffle.
-3. Shards.  Pieces are dealt by anchor.  A shard sorts the suffixes of its pieces by
-   Larsson-Sadakane refinement, takes the common prefixes of neighbours with Kasai's rule, run
-   in all pieces side by side, and finds the windows that occur twice.
-4. An anchor with very many different pieces is split over several shards.  Those also return
-   their distinct windows as sorted keys; key ranges of all shards are merged by binary search.
+3. Shards.  Pieces are dealt by anchor.  A shard leaves out windows whose middle part (179
+   bytes or so, at one place from the anchor) is in no other piece of the anchor.  It sorts the
+   suffixes of what is left by Larsson-Sadakane refinement, takes the common prefixes of
+   neighbours with Kasai's rule, run in all pieces side by side, and finds the windows that
+   occur twice.
+4. An anchor with very many different pieces is split over several shards.  Those sort all their
+   suffixes and also return their distinct windows as sorted keys; key ranges of all shards are merged by binary search.
 5. Runs found go back to the texts that hold the piece, in salted cells, and are cut out.
 
 Defined results: a null text is empty; texts shorter than `length` lose nothing; equal rows
@@ -35,8 +37,12 @@ from eventgauge.llm.shared import LAST, CELLS, flat_bytes, matched, mixed, quote
 
 LENGTH = 200
 GRAM = 32
-#: Windows handled at once; below 2 ** 28, as a place shares a word with its hash.
-SECTION = 1 << 24
+#: Windows handled at once, few enough for a processor's cache; a place in one shares a word of
+#: 32 bits with its hash.
+SECTION = 1 << 15
+PLACE_BITS = 16
+#: Parts into which the distances of a window from its anchor are cut.
+PARTS = 8
 #: Bytes of distinct pieces a shard sorts, on average, and different pieces of one anchor in it.
 SHARD_BYTES = 1 << 20
 SHARD_PIECES = 8192
@@ -46,59 +52,87 @@ MERGE_ROWS = 500_000
 
 
 def gram_hashes(flat: np.ndarray) -> np.ndarray:
-    """A hash of the 32 bytes at every place, by doubling; the last 31 places are cut off."""
-    table = mixed(np.arange(1, 257, dtype=np.uint64))
-    h, width = table[flat], 1
-    factor = 0x9E3779B97F4A7C15
+    """32 bits for the 32 bytes at every place, by doubling; the last 31 places are cut off."""
+    h, width = mixed(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)[flat], 1
+    factor = 0x9E3779B1
     while width < GRAM:
-        h = h[:-width] * np.uint64(factor) + h[width:]
-        factor = factor * factor & (2**64 - 1)
+        h = h[:-width] * np.uint32(factor) + h[width:]
+        factor = factor * factor & (2**32 - 1)
         width *= 2
-    return mixed(h)
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    return h
+
+
+def gram_names(flat: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """64 bits for the 32 bytes at the given places."""
+    if not len(places):
+        return np.zeros(0, np.uint64)
+    words = np.lib.stride_tricks.sliding_window_view(flat, GRAM)[places].view(np.uint64)
+    names = np.zeros(len(places), np.uint64)
+    for k in range(words.shape[1]):
+        names = mixed(names * np.uint64(0x9E3779B97F4A7C15) + words[:, k] + np.uint64(1))
+    return names
 
 
 def runs(
     flat: np.ndarray, offsets: np.ndarray, length: int = LENGTH, section: int = SECTION
 ) -> tuple[np.ndarray, ...]:
-    """text, first window, number of windows and anchor of every run of windows.
+    """text, first window, number of windows and anchor of every run of windows."""
+    text, first, windows, place = placed_runs(flat, offsets, length, section)
+    return text, first, windows, gram_names(flat, place + first + offsets[text])
+
+
+def placed_runs(flat: np.ndarray, offsets: np.ndarray, length: int, section: int = SECTION) -> tuple[np.ndarray, ...]:
+    """text, first window, number of windows, and bytes from the first window to the anchor, of every run.
 
     The windows are handled a section at a time, which bounds the memory and the places inside
-    one; a run that goes on in the next section becomes two runs of the same anchor.
+    one; a run that goes on in the next section is put together again.
     """
-    made = []
-    for begin in range(0, max(len(flat) - length + 1, 1), section):
+    section = min(section, SECTION)
+    made = [(np.zeros(0, np.int64),) * 4]
+    for begin in range(0, len(flat) - length + 1, section):
         data = flat[begin : begin + section + length - 1]
-        bounds = np.clip(offsets, begin, begin + len(data)) - begin
-        text, first, windows, anchor = section_runs(data, bounds, length)
-        made.append((text, first + begin + bounds[text] - offsets[text], windows, anchor))
-    return tuple(np.concatenate(c) for c in zip(*made, strict=True))
+        # The texts that have bytes here.
+        low = np.searchsorted(offsets, begin, "right") - 1
+        bounds = offsets[low : np.searchsorted(offsets, begin + len(data)) + 1]
+        text, at, windows, chosen = section_runs(data, np.clip(bounds - begin, 0, len(data)), length)
+        made.append((text + low, at + begin, windows, chosen + begin))
+    text, at, windows, chosen = (np.concatenate(c) for c in zip(*made, strict=True))
+    new = np.ones(len(text), bool)
+    new[1:] = (chosen[1:] != chosen[:-1]) | (text[1:] != text[:-1])
+    begins = np.flatnonzero(new)
+    windows = np.add.reduceat(windows, begins) if len(begins) else windows
+    text, at, chosen = text[begins], at[begins], chosen[begins]
+    return text, at - offsets[text], windows, chosen - at
 
 
 def section_runs(flat: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """The runs of one section, whose places fit into 28 bits."""
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
-    if len(flat) < length:
-        return none
+    """text, first window, number of windows and place of the anchor of the runs of one section."""
+    places = np.uint32((1 << PLACE_BITS) - 1)
     hashes = gram_hashes(flat)
-    places = np.uint64((1 << 28) - 1)
-    least = (hashes & ~places) | np.arange(len(hashes), dtype=np.uint64)
+    least = (hashes & ~places) | np.arange(len(hashes), dtype=np.uint32)
     span, width = length - GRAM + 1, 1
     while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
     if span > width:
         least = np.minimum(least[: width - span], least[span - width :])
-    starts = np.repeat(offsets[:-1], np.maximum(np.diff(offsets) - length + 1, 0))
-    sizes = np.maximum(np.diff(offsets) - length + 1, 0)
-    if not sizes.sum():
-        return none
-    inside = np.arange(len(starts)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    chosen = least[starts + inside] & places
-    new = np.ones(len(chosen), bool)
-    new[1:] = (chosen[1:] != chosen[:-1]) | (text[1:] != text[:-1])
-    at = np.flatnonzero(new)
-    return text[at], inside[at], np.diff(np.append(at, len(chosen))), hashes[chosen[at].astype(np.int64)]
+    least &= places
+    changes = np.flatnonzero(least[1:] != least[:-1]) + 1
+    # A text begins a run, and so does each change inside it.
+    long = np.flatnonzero(np.diff(offsets) >= length)
+    if not len(long):
+        return (np.zeros(0, np.int64),) * 4
+    starts, stops = offsets[long], offsets[long + 1] - length + 1
+    of = np.searchsorted(starts, changes, "right") - 1
+    changes = changes[(of >= 0) & (changes > starts[of]) & (changes < stops[of])]
+    at = np.sort(np.concatenate([starts, changes]))
+    of = np.searchsorted(starts, at, "right") - 1
+    ends = np.minimum(np.append(at[1:], len(flat)), stops[of])
+    return long[of], at, ends - at, least[at].astype(np.int64)
 
 
 def suffix_array(data: np.ndarray, room: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,19 +210,47 @@ def common_prefixes(
         while len(going):
             at = same[going]
             x = keys[here[going] + at] ^ keys[other[going] + at]
-            whole = x == 0
-            bits = np.zeros(len(x), np.int64)
-            # The number of equal leading bytes of those that differ.
-            part = x[~whole]
-            bits[~whole] = sum((part < np.uint64(1 << (8 * k))).astype(np.int64) for k in range(1, 8))
-            bits[whole] = 8
-            same[going] = at + bits
-            going = going[whole & (same[going] < most)]
+            # Equal leading bytes, from the highest bit that differs; without the bit below it rounds to itself.
+            at += (64 - np.frexp((x & ~(x >> np.uint64(1))).astype(np.float64))[1]) >> 3
+            same[going] = at
+            going = going[(x == 0) & (at < most)]
         held[:lanes], neighbour[:lanes] = same, other
         out[before] = np.minimum(same, most)
     return out
 
 
+def likely_windows(
+    pieces: list[bytes], counts: np.ndarray, anchor: np.ndarray, place: np.ndarray, length: int = LENGTH
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each piece the first window that may occur twice and the one after the last; no other does.
+
+    Equal windows begin equally far before their anchor.  Those that begin from b to e - 1 bytes
+    before it all hold the bytes from b before to length - e + 1 behind its beginning, so one of
+    them can only occur twice if these occur twice with the anchor.
+    """
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    starts, windows = np.cumsum(sizes) - sizes, sizes - length + 1
+    factor = 0x9E3779B97F4A7C15
+    power = np.cumprod(np.full(len(data) + 1, factor, np.uint64))
+    back = np.cumprod(np.full(len(data) + 1, pow(factor, -1, 2**64), np.uint64))
+    table = mixed(np.arange(1, 257, dtype=np.uint64))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(table[data] * power[:-1], out=sums[1:])
+    low, high = windows.copy(), np.zeros(len(pieces), np.int64)
+    cuts = np.linspace(0, length - GRAM + 1, PARTS + 1).astype(int).tolist()
+    for b, e in zip(cuts, cuts[1:]):
+        first, stop = np.maximum(place - e + 1, 0), np.minimum(place - b + 1, windows)
+        here = np.flatnonzero(first < stop)
+        begin = (starts + place)[here] - b
+        core = (sums[begin + b + length - e + 1] - sums[begin]) * back[begin]
+        _, same = np.unique(mixed(core) + anchor[here].view(np.uint64), return_inverse=True)
+        here = here[np.bincount(same, counts[here])[same] >= 2]
+        low[here] = np.minimum(low[here], first[here])
+        high[here] = np.maximum(high[here], stop[here])
+    return low, high
+
+
 def repeated_windows(
     pieces: list[bytes], counts: np.ndarray, length: int = LENGTH
 ) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -229,42 +291,56 @@ def _key(identifier: Column, text: Column) -> Column:
 
 
 def anchors(rows: DataFrame, length: int) -> DataFrame:
-    """anchor, key, place (first window times 512, plus windows) of every run."""
+    """anchor, key, place (first window, number of windows, bytes to the anchor) of every run."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            text, first, windows, anchor = runs(*flat_bytes(batch.column("text")), length)
+            flat, offsets = flat_bytes(batch.column("text"))
+            text, first, windows, place = placed_runs(flat, offsets, length)
+            anchor = gram_names(flat, place + first + offsets[text])
             keys = batch.column("key").to_numpy()[text]
+            packed = first << 18 | windows << 9 | place
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(keys), pa.array(first * 512 + windows)], ["anchor", "key", "place"]
+                [pa.array(anchor.view(np.int64)), pa.array(keys), pa.array(packed)], ["anchor", "key", "place"]
             )
 
     return rows.select("key", "text").mapInArrow(work, "anchor long, key long, place long")
 
 
-PIECE = "anchor long, piece binary, key long, first int, content binary"
+#: Pieces that are handed on at once.
+PIECES = 1 << 16
 
 
-def cut_pieces(held: DataFrame, length: int) -> DataFrame:
-    """The bytes of the runs of each text, with a digest that names them."""
+def cut_pieces(held: DataFrame, length: int, whole: bool) -> DataFrame:
+    """The runs of each text with a digest that names their bytes, and the bytes if `whole`."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("key", "text", "runs"))
-            for key, text, found in zip(*columns, strict=True):
-                data = text.encode()
-                for run in found:
-                    first, windows = divmod(run["place"], 512)
-                    content = data[first : first + windows + length - 1]
-                    digest = hashlib.blake2b(content, digest_size=16).digest()
-                    rows.append((run["anchor"], digest, key, first, content))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
-            names = ["anchor", "piece", "key", "first", "content"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
-
-    return held.select("key", "text", "runs").mapInArrow(work, PIECE)
+            flat, offsets = flat_bytes(batch.column("text"))
+            found = batch.column("runs")
+            packed = found.flatten().field("place").to_numpy()
+            text = np.repeat(np.arange(len(batch)), found.value_lengths().to_numpy())
+            first = packed >> 18
+            begins = offsets[text] + first
+            ends = begins + (packed >> 9 & 511) + length - 1
+            data = flat.tobytes()
+            for k in range(0, len(packed), PIECES):
+                part = slice(k, k + PIECES)
+                pieces = [data[a:b] for a, b in zip(begins[part].tolist(), ends[part].tolist(), strict=True)]
+                digests = [hashlib.blake2b(p, digest_size=16).digest() for p in pieces]
+                columns = {
+                    "anchor": found.flatten().field("anchor")[part],
+                    "piece": pa.array(digests, pa.binary()),
+                    "key": batch.column("key").take(pa.array(text[part])),
+                    "first": pa.array(first[part].astype(np.int32)),
+                }
+                if whole:
+                    columns["place"] = pa.array((packed[part] & 511).astype(np.int32))
+                    columns["content"] = pa.array(pieces, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "anchor long, piece binary, key long, first int" + (", place int, content binary" if whole else "")
+    return held.select("key", "text", "runs").mapInArrow(work, schema)
 
 
 def found_in_shards(distinct: DataFrame, length: int, shard_pieces: int) -> DataFrame:
@@ -286,10 +362,18 @@ def found_in_shards(distinct: DataFrame, length: int, shard_pieces: int) -> Data
     )
 
     def work(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["anchor", "piece"])
-        twice, stands = repeated_windows(group["content"].tolist(), group["n"].to_numpy(), length)
+        group = group.sort_values("anchor")
+        pieces, counts = group["content"].tolist(), group["n"].to_numpy()
+        if (group["part"] < 0).all():
+            low, high = likely_windows(pieces, counts, group["anchor"].to_numpy(), group["place"].to_numpy(), length)
+            some = low < high
+            group, counts, low, high = group[some], counts[some], low[some], high[some]
+            pieces = [p[a : b + length - 1] for p, a, b in zip(group["content"], low.tolist(), high.tolist(), strict=True)]
+        else:
+            low = np.zeros(len(pieces), np.int64)
+        twice, stands = repeated_windows(pieces, counts, length) if pieces else ([], [])
         out = []
-        for row, windows, own in zip(group.itertuples(), twice, stands, strict=True):
+        for row, start, windows, own in zip(group.itertuples(), low.tolist(), twice, stands, strict=True):
             keys = []
             if row.part >= 0:
                 keys = [
@@ -297,11 +381,11 @@ def found_in_shards(distinct: DataFrame, length: int, shard_pieces: int) -> Data
                     for w in own.tolist()
                 ]
             if len(windows) or keys:
-                out.append((row.piece, row.part, ranges(windows), own.tolist() if keys else [], keys))
+                out.append((row.piece, row.part, ranges(windows + start), own.tolist() if keys else [], keys))
         return pd.DataFrame(out, columns=["piece", "part", "runs", "windows", "keys"])
 
     schema = "piece binary, part int, runs array<int>, windows array<int>, keys array<long>"
-    sorted_ = dealt.withColumn("shard", spread).select("shard", "anchor", "piece", "part", "n", "content")
+    sorted_ = dealt.withColumn("shard", spread).select("shard", "anchor", "piece", "part", "n", "place", "content")
     found = stored(sorted_.groupBy("shard").applyInPandas(work, schema), "shards")
     inside = found.filter(F.size("runs") > 0).select("piece", "runs")
     return inside.unionByName(merged(found)).unionByName(whole)
@@ -336,13 +420,14 @@ def spans(documents: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_
     often = stored(marked.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often")
     lists = matched(marked, often, "anchor", "n").groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("runs"))
     held = stored(rows.join(lists, "key").select("key", "text", "runs"), "texts")
-    owners = cut_pieces(held, length)
+    pieces = cut_pieces(held, length, whole=True).groupBy("anchor", "piece")
     distinct = stored(
-        owners.groupBy("anchor", "piece").agg(F.first("content").alias("content"), F.count(F.lit(1)).alias("n")), "pieces"
+        pieces.agg(F.first("place").alias("place"), F.first("content").alias("content"), F.count(F.lit(1)).alias("n")), "pieces"
     )
     found = stored(found_in_shards(distinct, length, shard_pieces), "found")
     facts = found.groupBy("piece").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    # Read twice below, so cut from the texts once more only, and stored without their content.
+    # Read twice below, so named from the texts once more only, and stored without their content.
+    owners = cut_pieces(held, length, whole=False)
     own = stored(owners.select("piece", "key", "first", F.pmod("key", F.lit(CELLS)).cast("int").alias("cell")), "owners")
     placed = told(own, facts, "piece")
     shifted = F.transform("runs", lambda x, i: x + F.col("first") + F.when(i % 2 == 1, length).otherwise(0))

@@ -578,6 +578,47 @@ def test_runs_do_not_depend_on_sections():
         assert windows(section) == whole
 
 
+def test_runs_go_on_across_sections():
+    flat = np.random.default_rng(6).integers(97, 123, 150_000).astype(np.uint8)
+    offsets = np.array([0, 0, 70_000, 70_100, 150_000, 150_000])
+    whole, cut = (suffix_dedup.runs(flat, offsets, 200, section) for section in (1 << 24, 1000))
+    assert all((a == b).all() for a, b in zip(whole, cut, strict=True))
+    text, first, windows, anchor = whole
+    assert windows.sum() == 70_000 + 79_900 - 2 * 199
+    # Two texts of random letters: no anchor comes twice, so no run was cut in two.
+    assert len(np.unique(anchor)) == len(anchor)
+
+
+def test_only_windows_that_may_recur_are_sorted():
+    rng = np.random.default_rng(7)
+    letters = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    pieces, places, anchors = [], [], []
+    # Of each anchor two pieces that share `left` bytes before it and `right` bytes from it on.
+    for k, (left, right) in enumerate([(0, 40), (50, 100), (80, 120), (100, 150), (168, 200), (3, 199), (150, 60)] * 20):
+        shared = letters(left), letters(right)
+        for _ in range(2):
+            place, rest = int(rng.integers(100, 169)), int(rng.integers(180, 200))
+            before, after = letters(place) + shared[0], shared[1] + letters(rest)
+            pieces.append(before[-place:] + after[:rest])
+            places.append(place)
+            anchors.append(k)
+    counts = np.ones(len(pieces), np.int64)
+    low, high = suffix_dedup.likely_windows(pieces, counts, np.array(anchors), np.array(places))
+    seen = collections.Counter()
+    for piece, anchor in zip(pieces, anchors, strict=True):
+        seen.update((anchor, piece[w : w + 200]) for w in range(len(piece) - 199))
+    sorted_ = exact = 0
+    for k, (piece, anchor) in enumerate(zip(pieces, anchors, strict=True)):
+        again = [w for w in range(len(piece) - 199) if seen[anchor, piece[w : w + 200]] > 1]
+        assert all(low[k] <= w < high[k] for w in again)
+        assert again or high[k] - low[k] <= 2 * 22
+        sorted_, exact = sorted_ + max(0, high[k] - low[k]), exact + len(again)
+    assert 0 < exact <= sorted_ < 0.6 * sum(len(p) - 199 for p in pieces)
+    # A piece that is in two texts keeps all its windows.
+    low, high = suffix_dedup.likely_windows(pieces, counts * 2, np.array(anchors), np.array(places))
+    assert (low == 0).all() and (high == [len(p) - 199 for p in pieces]).all()
+
+
 def test_flat_bytes_of_slices():
     from eventgauge.llm.shared import flat_bytes, steps
 
