@@ -47,7 +47,7 @@ PARTS = 8
 SHARD_BYTES = 1 << 20
 SHARD_PIECES = 8192
 LEAST_SHARDS = 48
-#: Rows of sorted keys a merging task holds, on average.
+#: Rows of sorted keys a merging task holds at most, on average.
 MERGE_ROWS = 500_000
 
 
@@ -400,7 +400,7 @@ def merged(found: DataFrame) -> DataFrame:
     keyed = found.filter(F.size("keys") > 0).select(
         "piece", F.explode(F.arrays_zip("windows", "keys")).alias("w")
     ).select("piece", F.col("w.windows").alias("window"), F.col("w.keys").alias("key"))
-    ranges_ = max(1, keyed.count() // MERGE_ROWS)
+    ranges_ = max(LEAST_SHARDS, keyed.count() // MERGE_ROWS + 1)
 
     def work(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key", kind="stable")

@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from eventgauge.llm import (
     chat_format, components, exact_dedup, jaccard_join, lattice, lattice_lm, packing, piece_sampling, quality_rules,
@@ -619,6 +620,23 @@ def test_only_windows_that_may_recur_are_sorted():
     assert (low == 0).all() and (high == [len(p) - 199 for p in pieces]).all()
 
 
+def test_windows_of_split_anchors_are_merged_in_several_tasks(spark):
+    # Keys of three shards; those below 300 that 5 divides are in two of them.
+    held = [(b"a", 0, list(range(300))), (b"b", 1, list(range(0, 300, 5))), (b"c", 2, list(range(300, 600)))]
+    rows = [(p, part, [], [k + 7 for k in keys], keys) for p, part, keys in held]
+    found = spark.createDataFrame(rows, "piece binary, part int, runs array<int>, windows array<int>, keys array<long>")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        made = suffix_dedup.merged(found).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(name, before)
+    again = sorted((bytes(r.piece), list(r.runs)) for r in made)
+    assert again == [(p, [k + 7] * 2) for p in (b"a", b"b") for k in range(0, 300, 5)]
+    assert len({r.task for r in made}) > 1
+
+
 def test_flat_bytes_of_slices():
     from eventgauge.llm.shared import flat_bytes, steps
 
