@@ -66,6 +66,7 @@ class Sampler:
         places = np.flatnonzero(~self.is_end[nodes])
         at = nodes[places]
         found, owner = [], []
+        steps_ = np.zeros(len(nodes), np.int64)
         step = 0
         while len(places):
             u = uniforms(seeds[places], np.int64(step) + (np.int64(salt) << 40) + (places.astype(np.int64) << 8))
@@ -76,14 +77,16 @@ class Sampler:
                 going = going[self.reached[edge[going]] < u[going]]
             found.append(edge)
             owner.append(places)
+            steps_[places] += 1
             at = self.lattice.stop[edge]
             on = ~self.is_end[at]
             places, at = places[on], at[on]
             step += 1
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(len(nodes), np.int64)
-        owner, edges = np.concatenate(owner), np.concatenate(found)
-        return edges[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(nodes))
+        edges = np.zeros(int(steps_.sum()), np.int64)
+        begins = np.cumsum(steps_) - steps_
+        for step, (places, edge) in enumerate(zip(owner, found, strict=True)):
+            edges[begins[places] + step] = edge
+        return edges, steps_
 
 
 def _truncated(location: np.ndarray, u: np.ndarray, top: float) -> np.ndarray:
@@ -93,79 +96,104 @@ def _truncated(location: np.ndarray, u: np.ndarray, top: float) -> np.ndarray:
         return -np.logaddexp(-top, -free)
 
 
-class Search:
-    """The regions of one text.  A sample is a list of edges; its regions are its steps."""
+class Searches:
+    """The regions of all texts of a batch.  A sample is a list of edges; its regions are its steps."""
+
+    def __init__(self, sampler: Sampler, seeds: np.ndarray):
+        self.sampler, self.seeds = sampler, seeds
+        n = len(seeds)
+        self.samples: list[list[np.ndarray]] = [[] for _ in range(n)]
+        self.value: list[list[float]] = [[] for _ in range(n)]
+        #: Minus the log-chance of the steps before each step, and of all.
+        self.cost: list[list[np.ndarray]] = [[] for _ in range(n)]
+        #: The values of the regions, and the step of the first one.
+        self.open: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(n)]
+        self.barred: list[dict[tuple[int, int], list[int]]] = [{} for _ in range(n)]
+
+    def add(self, who: list[int], edges: np.ndarray, bounds: np.ndarray, value: np.ndarray, since: np.ndarray) -> None:
+        """A new sample for each text of `who`; its steps from `since` on become regions."""
+        if not len(who):
+            return
+        number = len(self.samples[who[0]])
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        chances = self.sampler.log_chance[edges]
+        cost = np.zeros(len(edges) + len(who))
+        for n, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            np.cumsum(chances[a:b], out=cost[a + n + 1 : b + n + 1])
+        np.subtract(0.0, cost, out=cost)
+        shift = starts + np.arange(len(who))
+
+        def located(first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Log-chances of "as the sample up to the step, there a different piece"; steps and texts."""
+            counts = after - first
+            text = np.repeat(np.arange(len(counts)), counts)
+            step = np.arange(len(text)) + np.repeat(first - np.cumsum(counts) + counts, counts)
+            own = chances[starts[text] + step]
+            with np.errstate(divide="ignore"):
+                other = np.log(-np.expm1(np.minimum(own, 0.0)))
+            return np.where(own > -1e-12, -np.inf, other) - cost[shift[text] + step], step, text
 
-    def __init__(self, seed: int):
-        self.seed = np.uint64(seed)
-        self.samples: list[np.ndarray] = []
-        self.value: list[float] = []
-        self.log_chance: list[float] = []
-        self.open: list[np.ndarray] = []
-        self.prefix: list[np.ndarray] = []
-        self.barred: dict[tuple[int, int], list[int]] = {}
-
-    def add(self, edges: np.ndarray, chances: np.ndarray, value: float, since: int) -> None:
-        """A new sample; its steps from `since` on become regions."""
-        number = len(self.samples)
-        prefix = np.concatenate([[0.0], np.cumsum(chances)])
         # A uniform number of 52 bits moves a location by -3.6 to 36.7, so a step whose location
         # (at most its prefix) is 41 below another's cannot win: its regions are never opened.
-        end, most = since, -np.inf
-        while end < len(edges) and not np.isfinite(most):
-            end = min(len(edges), max(end + 128, 4 * (end - since) + since))
-            most = self._locations(chances, prefix, since, end).max()
-        if np.isfinite(most):
-            end = max(since, int(np.searchsorted(-prefix[:-1], SPREAD - most, side="right")))
-        location = self._locations(chances, prefix, since, end)
-        u = uniforms(np.full(len(location), self.seed), np.arange(since, end) + ((number + 1) << 44))
-        held = np.full(end, -np.inf)
-        held[since:] = _truncated(location, u, value)
-        held[since:][~np.isfinite(location)] = -np.inf
-        self.samples.append(edges)
-        self.value.append(value)
-        self.log_chance.append(float(prefix[-1]))
-        self.open.append(held)
-        self.prefix.append(prefix)
-
-    @staticmethod
-    def _locations(chances: np.ndarray, prefix: np.ndarray, since: int, end: int) -> np.ndarray:
-        """Log-chances of "as the sample up to the step, there a different piece"."""
-        own = chances[since:end]
-        with np.errstate(divide="ignore"):
-            other = np.log(-np.expm1(np.minimum(own, 0.0)))
-        return prefix[since:end] + np.where(own > -1e-12, -np.inf, other)
-
-    def best(self) -> tuple[float, int, int]:
-        """The largest value of a region, its sample and its step."""
+        end, most = since.copy(), np.full(len(who), -np.inf)
+        left = np.flatnonzero(end < sizes)
+        while len(left):
+            grown = np.maximum(end + 128, 4 * (end - since) + since)
+            end[left] = np.minimum(sizes, grown)[left]
+            after = since.copy()
+            after[left] = end[left]
+            location, _, text = located(since, after)
+            np.maximum.at(most, text, location)
+            left = left[(end[left] < sizes[left]) & ~np.isfinite(most[left])]
+        for n in np.flatnonzero(np.isfinite(most)).tolist():
+            paid = cost[shift[n] : shift[n] + sizes[n]]
+            end[n] = max(since[n], int(np.searchsorted(paid, SPREAD - most[n], side="right")))
+        location, step, text = located(since, end)
+        u = uniforms(self.seeds[who][text], step + ((number + 1) << 44))
+        held = _truncated(location, u, value[text])
+        held[~np.isfinite(location)] = -np.inf
+        cuts = np.concatenate([[0], np.cumsum(end - since)]).tolist()
+        for n, owner in enumerate(who):
+            self.samples[owner].append(edges[bounds[n] : bounds[n + 1]])
+            self.value[owner].append(float(value[n]))
+            self.cost[owner].append(cost[shift[n] : shift[n] + sizes[n] + 1])
+            self.open[owner].append((int(since[n]), held[cuts[n] : cuts[n + 1]]))
+
+    def best(self, n: int) -> tuple[float, int, int]:
+        """The largest value of a region of a text, its sample and its step."""
         out = (-np.inf, -1, -1)
-        for k, held in enumerate(self.open):
+        for k, (since, held) in enumerate(self.open[n]):
             if len(held):
-                step = int(np.argmax(held))
+                step = int(held.argmax())
                 if held[step] > out[0]:
-                    out = (float(held[step]), k, step)
+                    out = (float(held[step]), k, since + step)
         return out
 
-    def enter(self, sampler: Sampler, k: int, step: int) -> int:
-        """Choose another edge at the step of sample k and close or narrow the region."""
-        own = int(self.samples[k][step])
-        barred = self.barred.setdefault((k, step), [own])
-        node = int(sampler.lattice.start[own])
-        edges = np.arange(sampler.lattice.first[node], sampler.lattice.after[node])
-        edges = edges[~np.isin(edges, barred)]
-        chances = np.exp(sampler.log_chance[edges])
-        value = self.open[k][step]
-        number = (len(self.samples) << 44) + (1 << 43)
-        u = uniforms(np.full(2, self.seed), np.array([number, number + 1]))
-        edge = int(edges[min(int(np.searchsorted(np.cumsum(chances), u[0] * chances.sum())), len(edges) - 1)])
-        barred.append(edge)
-        rest = chances[edges != edge].sum()
-        if rest > 0:
-            location = np.array([self.prefix[k][step] + np.log(rest)])
-            self.open[k][step] = _truncated(location, u[1:], value)[0]
-        else:
-            self.open[k][step] = -np.inf
-        return edge
+    def enter(self, regions: list[tuple[int, float, int, int]]) -> list[int]:
+        """Choose another edge in each region (text, value, sample, step) and close or narrow the region."""
+        number = (len(self.samples[regions[0][0]]) << 44) + (1 << 43)
+        who = np.array([r[0] for r in regions])
+        u, narrowed = (uniforms(self.seeds[who], np.full(len(who), number + x)) for x in (0, 1))
+        lattice, log_chance = self.sampler.lattice, self.sampler.log_chance
+        chosen, location = [], np.full(len(who), -np.inf)
+        for at, (n, _, k, step) in enumerate(regions):
+            own = int(self.samples[n][k][step])
+            barred = self.barred[n].setdefault((k, step), [own])
+            node = lattice.start[own]
+            edges = [e for e in range(int(lattice.first[node]), int(lattice.after[node])) if e not in barred]
+            chances = np.exp(log_chance[edges])
+            place = min(int(np.searchsorted(chances.cumsum(), u[at] * chances.sum())), len(edges) - 1)
+            chosen.append(edges[place])
+            barred.append(edges[place])
+            rest = np.delete(chances, place).sum()
+            if rest > 0:
+                location[at] = np.log(rest) - self.cost[n][k][step]
+        values = _truncated(location, narrowed, np.array([r[1] for r in regions]))
+        values[~np.isfinite(location)] = -np.inf
+        for (n, _, k, step), value in zip(regions, values, strict=True):
+            since, held = self.open[n][k]
+            held[step - since] = value
+        return chosen
 
 
 def sample_batch(
@@ -177,73 +205,77 @@ def sample_batch(
     flat, bounds = coded.indices.to_numpy().astype(np.int64), parts.offsets.to_numpy()
     # An empty text has no word, though splitting gives it one empty part.
     full = np.array([bool(t) for t in batch_texts], bool)
-    codes = [flat[a:b] if x else flat[:0] for a, b, x in zip(bounds[:-1], bounds[1:], full, strict=True)]
-    sampler = Sampler(coded.dictionary.to_pylist(), given, weights)
-    roots = sampler.lattice.roots
-    searches = [Search(s) for s in seeds]
-    spelled = bool((sampler.lattice.piece < 0).any())
-
-    # First samples: all words of all texts.
-    sizes = np.array([len(c) for c in codes], np.int64)
-    flat = np.concatenate(codes) if codes else flat
-    owner = np.repeat(np.arange(len(codes)), sizes)
+    sampler = Sampler(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), given, weights)
+    lattice = sampler.lattice
     seed_of = np.array(seeds, np.uint64)
+    searches = Searches(sampler, seed_of)
+    spelled = bool((lattice.piece < 0).any())
 
-    def drawn(nodes: np.ndarray, who: np.ndarray, number: int) -> list[np.ndarray]:
-        """The ways from the nodes (in the order of their texts), cut by text; seeds differ by place."""
-        counts = np.bincount(who, minlength=len(codes))
+    def drawn(nodes: np.ndarray, counts: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ways from the nodes of all texts, and the places where texts begin; seeds differ by place."""
         bounds = np.concatenate([[0], np.cumsum(counts)])
-        ranks = np.arange(len(who)) - np.repeat(bounds[:-1], counts)
-        edges, steps_ = sampler.ways(nodes, mixed(np.repeat(seed_of, counts) ^ ranks.astype(np.uint64)), number)
-        cuts = np.concatenate([[0], np.cumsum(steps_)])[bounds]
-        return [edges[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    for n, edges in enumerate(drawn(roots[flat], owner, 0)):
-        u = uniforms(np.array([searches[n].seed]), np.array([1 << 60]))
-        searches[n].add(edges, sampler.log_chance[edges], float(-np.log(-np.log(u[0]))), 0)
+        ranks = np.arange(len(nodes)) - np.repeat(bounds[:-1], counts)
+        edges, taken = sampler.ways(nodes, mixed(np.repeat(seed_of, counts) ^ ranks.astype(np.uint64)), number)
+        return edges, np.concatenate([[0], np.cumsum(taken)])[bounds]
+
+    # First samples: all words of all texts.
+    sizes = np.where(full, np.diff(bounds), 0)
+    roots = lattice.roots[flat[np.repeat(full, np.diff(bounds))]]
+    words = np.concatenate([[0], np.cumsum(sizes)])
+    ids, who = [], list(range(len(seeds)))
+    edges, cuts = drawn(roots, sizes, 0)
+    u = uniforms(seed_of, np.full(len(seeds), 1 << 60))
+    searches.add(who, edges, cuts, -np.log(-np.log(u)), np.zeros(len(seeds), np.int64))
+    ids.append(dict(zip(who, _ids(edges, cuts, spelled, lattice, given), strict=True)))
     for number in range(1, k):
-        entered, nodes, who = {}, [], []
-        for n, search in enumerate(searches):
-            value, parent, step = search.best()
-            if not np.isfinite(value):
-                continue
-            edge = search.enter(sampler, parent, step)
-            # The word of the step: as many words end before it in the parent sample.
-            passed = int(sampler.is_end[sampler.lattice.stop[search.samples[parent][:step]]].sum())
-            entered[n] = (value, parent, step, edge)
-            nodes.append(np.append(sampler.lattice.stop[edge], roots[codes[n][passed + 1 :]]))
-            who.append(np.full(len(nodes[-1]), n))
-        if not entered:
+        regions = []
+        for n in range(len(seeds)):
+            value, parent, step = searches.best(n)
+            if np.isfinite(value):
+                regions.append((n, value, parent, step))
+        if not regions:
             break
-        rest = drawn(np.concatenate(nodes).astype(np.int64), np.concatenate(who), number)
-        for n, (value, parent, step, edge) in entered.items():
-            edges = np.concatenate([searches[n].samples[parent][:step], [edge], rest[n]]).astype(np.int64)
-            searches[n].add(edges, sampler.log_chance[edges], value, step + 1)
-    for n, search in enumerate(searches):
-        left = search.best()[0]
-        for number, edges in enumerate(search.samples):
-            log_chance = search.log_chance[number]
+        entered = searches.enter(regions)
+        nodes, counts = [], np.zeros(len(seeds), np.int64)
+        for (n, _, parent, step), edge in zip(regions, entered, strict=True):
+            # The word of the step: as many words end before it in the parent sample.
+            passed = int(sampler.is_end[lattice.stop[searches.samples[n][parent][:step]]].sum())
+            nodes += [lattice.stop[edge : edge + 1], roots[words[n] + passed + 1 : words[n + 1]]]
+            counts[n] = words[n + 1] - words[n] - passed
+        rest, cuts = drawn(np.concatenate(nodes), counts, number)
+        whole = []
+        for (n, _, parent, step), edge in zip(regions, entered, strict=True):
+            whole += [searches.samples[n][parent][:step], [edge], rest[cuts[n] : cuts[n + 1]]]
+        who, values, _, since = (list(x) for x in zip(*regions, strict=True))
+        cuts = np.concatenate([[0], np.cumsum(np.array([len(x) for x in whole]).reshape(-1, 3).sum(axis=1))])
+        edges = np.concatenate(whole).astype(np.int64)
+        searches.add(who, edges, cuts, np.array(values), np.array(since) + 1)
+        ids.append(dict(zip(who, _ids(edges, cuts, spelled, lattice, given), strict=True)))
+    for n, samples in enumerate(searches.cost):
+        left = searches.best(n)[0]
+        for number, cost in enumerate(samples):
+            log_chance = 0.0 - float(cost[-1])
             inclusion = float(-np.expm1(-np.exp(min(log_chance - left, 700.0)))) if np.isfinite(left) else 1.0
-            yield n, number, _ids(edges, spelled, sampler.lattice, given), log_chance, search.value[number], inclusion
+            yield n, number, ids[number][n], log_chance, searches.value[n][number], inclusion
 
 
-def _ids(edges: np.ndarray, spelled: bool, lattice: Lattice, given: Vocabulary) -> np.ndarray:
-    """The piece ids of a way; a character that is no piece gives those of its bytes."""
+def _ids(edges: np.ndarray, cuts: np.ndarray, spelled: bool, lattice: Lattice, given: Vocabulary) -> list[np.ndarray]:
+    """The piece ids of ways between cuts; a character that is no piece gives those of its bytes."""
     ids = lattice.piece[edges]
     places = np.flatnonzero(ids < 0) if spelled else ids[:0]
-    if not len(places):
-        return ids
-    codes, back = np.unique(lattice.codes[edges[places]], return_inverse=True)
-    each = [given.byte[list(chr(c).encode())] for c in codes.tolist()]
-    sizes = np.ones(len(ids), np.int64)
-    sizes[places] = np.array([len(x) for x in each])[back]
-    ends = np.cumsum(sizes)
-    out = np.repeat(ids, sizes)
-    for k, part in enumerate(each):
-        at = ends[places[back == k]] - len(part)
-        for b, value in enumerate(part.tolist()):
-            out[at + b] = value
-    return out
+    if len(places):
+        codes, back = np.unique(lattice.codes[edges[places]], return_inverse=True)
+        each = [given.byte[list(chr(c).encode())] for c in codes.tolist()]
+        sizes = np.ones(len(ids), np.int64)
+        sizes[places] = np.array([len(x) for x in each])[back]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = np.repeat(ids, sizes)
+        for k, part in enumerate(each):
+            at = ends[places[back == k]]
+            for b, value in enumerate(part.tolist()):
+                ids[at + b] = value
+        cuts = ends[cuts]
+    return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 def decode(ids: np.ndarray, given: Vocabulary) -> str:

@@ -272,6 +272,26 @@ def test_samples_follow_the_gumbel_law():
         assert abs(inside[way] / n - second) < 5 * math.sqrt(max(second * (1 - second), 0) / n) + 2e-3
 
 
+def test_samples_are_searched_for_all_texts_of_a_batch_at_once(monkeypatch):
+    """Random numbers are drawn for a batch, not text by text."""
+    vocabulary = lattice.vocabulary(PIECES)
+    odd = ["", "a", " two  blanks ", "naïve 試 \U0001f9ea\x00", "\U0001f9ea" * 300 + "hats", "\U0001f9ea" * 300]
+    drawn, uniforms = [], piece_sampling.uniforms
+    monkeypatch.setattr(piece_sampling, "uniforms", lambda *x: drawn.append(1) or uniforms(*x))
+    counts = []
+    for times in (1, 60):
+        drawn.clear()
+        found = list(piece_sampling.sample_batch(odd * times, list(range(len(odd) * times)), 3, vocabulary, vocabulary.weights))
+        counts.append(len(drawn))
+        for n, _, ids, chance, *_ in found:
+            assert piece_sampling.decode(ids, vocabulary) == odd[n % len(odd)]
+            assert chance <= 0
+        # Marks spelled by bytes have one way each.
+        assert all(number == 0 for n, number, *_ in found if n % len(odd) in (0, 5))
+        assert len({(n, tuple(ids.tolist())) for n, _, ids, *_ in found}) == len(found)
+    assert counts[1] <= 2 * counts[0]
+
+
 # --- 4 -----------------------------------------------------------------------
 def test_exact_dedup(spark, awkward, documents, nothing):
     for rows in (awkward, documents):
