@@ -51,25 +51,32 @@ class Sampler:
         scores = self.lattice.scores(given, weights)
         back = self.lattice.backward(scores)
         self.log_chance = scores + back[self.lattice.stop] - back[self.lattice.start]
-        # Up to and with each edge, the chance of the edges of its node; at most 1 at the last.
-        chance = np.exp(self.log_chance)
-        total = np.cumsum(chance)
-        first = self.lattice.first[self.lattice.start]
-        before = np.where(first > 0, total[np.maximum(first - 1, 0)], 0.0)
-        self.reached = total - before
-        self.reached[self.lattice.after[self.lattice.after > self.lattice.first] - 1] = 2.0
+        # Up to and with each edge, the chance of the edges of its node; at most 1 at the last.  A
+        # node's are added up on their own: one running sum's rounding would depend on the batch.
+        self.reached = np.exp(self.log_chance)
+        first, after = self.lattice.first, self.lattice.after
+        edge = first[after - first > 1] + 1
+        last = after[after - first > 1] - 1
+        while len(edge):
+            self.reached[edge] += self.reached[edge - 1]
+            more = edge < last
+            edge, last = edge[more] + 1, last[more]
+        self.reached[after[after > first] - 1] = 2.0
         self.is_end = np.zeros(len(self.lattice.first), bool)
         self.is_end[self.lattice.ends] = True
 
     def ways(self, nodes: np.ndarray, seeds: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
-        """Edges from each node to the end of its word, end to end, and how many for each."""
+        """Edges from each node to the end of its word, end to end, and how many for each.
+
+        What a node draws depends on its seed and the salt, not on its place among the nodes.
+        """
         places = np.flatnonzero(~self.is_end[nodes])
         at = nodes[places]
         found, owner = [], []
         steps_ = np.zeros(len(nodes), np.int64)
         step = 0
         while len(places):
-            u = uniforms(seeds[places], np.int64(step) + (np.int64(salt) << 40) + (places.astype(np.int64) << 8))
+            u = uniforms(seeds[places], np.array([step + (salt << 40)]))
             edge = self.lattice.first[at]
             going = np.flatnonzero(self.reached[edge] < u)
             while len(going):

@@ -292,6 +292,22 @@ def test_samples_are_searched_for_all_texts_of_a_batch_at_once(monkeypatch):
     assert counts[1] <= 2 * counts[0]
 
 
+def test_samples_do_not_depend_on_the_other_rows(awkward):
+    """Equal rows have equal samples, whatever rows share their batch."""
+
+    def samples(rows):
+        found = piece_sampling.sampled(rows, PIECES, k=3).collect()
+        return collections.Counter((r.doc_id, r["sample"], r.n_pieces, r.ids_crc32) for r in found)
+
+    once = samples(awkward.coalesce(1))
+    assert samples(awkward.repartition(5)) == once
+    assert samples(awkward.unionByName(awkward).coalesce(1)) == collections.Counter({k: 2 * n for k, n in once.items()})
+    vocabulary = lattice.vocabulary(PIECES)
+    whole = list(piece_sampling.sample_batch(["other words"] * 3 + ["word " * 500], [1, 2, 3, 4], 3, vocabulary, vocabulary.weights))
+    alone = list(piece_sampling.sample_batch(["word " * 500], [4], 3, vocabulary, vocabulary.weights))
+    assert [x[2].tolist() for x in whole if x[0] == 3] == [x[2].tolist() for x in alone]
+
+
 # --- 4 -----------------------------------------------------------------------
 def test_exact_dedup(spark, awkward, documents, nothing):
     for rows in (awkward, documents):
